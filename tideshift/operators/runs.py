@@ -152,44 +152,42 @@ class OrderedRuns:
             {name: F.coalesce(F.col(name), F.col(f"__carried_{name}")) for name in columns.values()}
         ).drop(*[f"__carried_{name}" for name in columns.values()])
 
-    def cumulative(self, columns: dict[str, str], totals: bool = False) -> DataFrame:
-        """Rows plus running sums of ``columns`` (source to name) over the whole series.
+    def whole(self, columns: dict[str, tuple[str, str]]) -> DataFrame:
+        """Rows plus aggregates of their whole series; ``columns`` maps a name to (sum|min|max, column)."""
+        everything = Window.partitionBy(*self.group)
+        out = self.df.withColumns({n: getattr(F, f)(c).over(everything) for n, (f, c) in columns.items()})
+        if not self.split:
+            return out
+        parts = self._per_run(*[getattr(F, f)(c).alias(f"__p_{n}") for n, (f, c) in columns.items()])
+        series = Window.partitionBy(*self.keys)
+        combined = parts.select(
+            *self.group, *[getattr(F, f)(f"__p_{n}").over(series).alias(f"__w_{n}") for n, (f, _) in columns.items()]
+        )
+        joined = join_keys(out, combined, self.group, "left")
+        return joined.withColumns({n: F.coalesce(f"__w_{n}", n) for n in columns}).drop(*[f"__w_{n}" for n in columns])
 
-        With ``totals`` each also gets ``{name}_total``, the sum over the series.
-        """
+    def cumulative(self, columns: dict[str, str]) -> DataFrame:
+        """Rows plus running sums of ``columns`` (source to name) over the whole series."""
         running = self.window.rowsBetween(Window.unboundedPreceding, 0)
-        whole = Window.partitionBy(*self.group)
         out = self.df.withColumns({name: F.sum(c).over(running) for c, name in columns.items()})
-        if totals:
-            out = out.withColumns({f"{name}_total": F.sum(c).over(whole) for c, name in columns.items()})
         if not self.split:
             return out
         sums = self._per_run(*[F.sum(c).alias(f"__sum_{name}") for c, name in columns.items()])
         before = self._runs_in_order().rowsBetween(Window.unboundedPreceding, -1)
-        everything = Window.partitionBy(*self.keys)
         offsets = sums.select(
-            *self.group,
-            *[F.sum(f"__sum_{n}").over(before).alias(f"__off_{n}") for n in columns.values()],
-            *[F.sum(f"__sum_{n}").over(everything).alias(f"__all_{n}") for n in columns.values()],
+            *self.group, *[F.sum(f"__sum_{n}").over(before).alias(f"__off_{n}") for n in columns.values()]
         )
         joined = join_keys(out, offsets, self.group, "left")
-        shifted = {n: F.col(n) + F.coalesce(F.col(f"__off_{n}"), F.lit(0)) for n in columns.values()}
-        if totals:
-            shifted |= {
-                f"{n}_total": F.coalesce(F.col(f"__all_{n}"), F.col(f"{n}_total")) for n in columns.values()
-            }
-        return joined.withColumns(shifted).drop(
-            *[f"__{kind}_{n}" for kind in ("off", "all") for n in columns.values()]
-        )
+        return joined.withColumns(
+            {n: F.col(n) + F.coalesce(F.col(f"__off_{n}"), F.lit(0)) for n in columns.values()}
+        ).drop(*[f"__off_{n}" for n in columns.values()])
 
     def numbered(self, name: str = "position", total: str | None = None) -> DataFrame:
         """Rows plus their 1-based place in the series and, on request, the series' row count."""
-        out = self.replace(self.df.withColumn("__one", F.lit(1).cast("long"))).cumulative(
-            {"__one": name}, totals=total is not None
-        )
+        counted = self.replace(self.df.withColumn("__one", F.lit(1).cast("long")))
         if total is not None:
-            out = out.withColumnRenamed(f"{name}_total", total)
-        return out.drop("__one")
+            counted = counted.replace(counted.whole({total: ("sum", "__one")}))
+        return counted.cumulative({"__one": name}).drop("__one")
 
 
 def ordered_runs(
