@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 EXACT_UP_TO = 10_000
 TERMS = 100
@@ -54,7 +55,7 @@ def exact_p_value(d: float, n: int, m: int) -> float:
     return float(min(1.0, max(0.0, 1.0 - math.exp(math.log(paths[m]) + log_scale - log_all))))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def exact_p(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
     """Exact p-value per row, missing above the size where the limit is used. One row per feature."""
     return pd.Series(

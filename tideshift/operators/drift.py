@@ -112,15 +112,15 @@ def _distances(long: DataFrame, group: list[str], bins: int, max_rows: int | Non
     runs = ordered_runs(counts, group, ("value",), max_rows)
     runs = runs.replace(
         runs.whole(
-            {"__R": ("sum", "__r"), "__C": ("sum", "__c"), "__low": ("min", "value"), "__high": ("max", "value")}
+            {"__all_r": ("sum", "__r"), "__all_c": ("sum", "__c"), "__low": ("min", "value"), "__high": ("max", "value")}
         )
     )
     runs = runs.replace(runs.last_known({"value": "__previous"}, strict=True))
     rows = runs.cumulative({"__r": "__upto_r", "__c": "__upto_c"})
 
-    gap = F.abs(F.col("__upto_r") / F.col("__R") - F.col("__upto_c") / F.col("__C"))
+    gap = F.abs(F.col("__upto_r") / F.col("__all_r") - F.col("__upto_c") / F.col("__all_c"))
     gap_before = F.abs(
-        (F.col("__upto_r") - F.col("__r")) / F.col("__R") - (F.col("__upto_c") - F.col("__c")) / F.col("__C")
+        (F.col("__upto_r") - F.col("__r")) / F.col("__all_r") - (F.col("__upto_c") - F.col("__c")) / F.col("__all_c")
     )
     width = (F.col("__high") - F.col("__low")) / bins
     value, low = F.col("value"), F.col("__low")
@@ -132,27 +132,27 @@ def _distances(long: DataFrame, group: list[str], bins: int, max_rows: int | Non
         .when((guess < bins - 1) & (value >= low + (guess + 1) * width), guess + 1)
         .otherwise(guess)
     )
-    rows = rows.where((F.col("__R") > 0) & (F.col("__C") > 0))
+    rows = rows.where((F.col("__all_r") > 0) & (F.col("__all_c") > 0))
     per_bin = rows.groupBy(*group, placed.alias("__bin")).agg(
         F.max(gap).alias("__ks"),
         F.sum(gap_before * (value - F.col("__previous"))).alias("__area"),
         F.sum("__r").alias("__r"),
         F.sum("__c").alias("__c"),
-        F.first("__R").alias("__R"),
-        F.first("__C").alias("__C"),
+        F.first("__all_r").alias("__all_r"),
+        F.first("__all_c").alias("__all_c"),
     )
-    p = (F.col("__c") + SMOOTHING) / (F.col("__C") + SMOOTHING * bins)
-    q = (F.col("__r") + SMOOTHING) / (F.col("__R") + SMOOTHING * bins)
+    p = (F.col("__c") + SMOOTHING) / (F.col("__all_c") + SMOOTHING * bins)
+    q = (F.col("__r") + SMOOTHING) / (F.col("__all_r") + SMOOTHING * bins)
     summed = per_bin.groupBy(*group).agg(
         F.max("__ks").alias("ks_statistic"),
         F.coalesce(F.sum("__area"), F.lit(0.0)).alias("wasserstein_distance"),
         F.sum(p * F.ln(p / q)).alias("__kl"),
         F.count(F.lit(1)).alias("__bins"),
-        F.first("__R").alias("__R"),
-        F.first("__C").alias("__C"),
+        F.first("__all_r").alias("__all_r"),
+        F.first("__all_c").alias("__all_c"),
     )
-    empty_p = F.lit(SMOOTHING) / (F.col("__C") + SMOOTHING * bins)
-    empty_q = F.lit(SMOOTHING) / (F.col("__R") + SMOOTHING * bins)
+    empty_p = F.lit(SMOOTHING) / (F.col("__all_c") + SMOOTHING * bins)
+    empty_q = F.lit(SMOOTHING) / (F.col("__all_r") + SMOOTHING * bins)
     return summed.select(
         *group,
         "ks_statistic",
@@ -225,10 +225,10 @@ def regime_drift(
         F.count_if("__ref").alias("__r"), F.count_if(~F.col("__ref")).alias("__c")
     )
     total = Window.partitionBy(*by)  # over one row per regime
-    rows = counts.withColumns({"__R": F.sum("__r").over(total), "__C": F.sum("__c").over(total)}).where(
-        (F.col("__R") > 0) & (F.col("__C") > 0)
+    rows = counts.withColumns({"__all_r": F.sum("__r").over(total), "__all_c": F.sum("__c").over(total)}).where(
+        (F.col("__all_r") > 0) & (F.col("__all_c") > 0)
     )
-    expected = F.greatest(F.col("__r") * (F.col("__C") / F.col("__R")), F.lit(SMOOTHING))
+    expected = F.greatest(F.col("__r") * (F.col("__all_c") / F.col("__all_r")), F.lit(SMOOTHING))
     difference = F.col("__c") - expected
 
     def shares(n: str, total: str) -> Column:
@@ -240,8 +240,8 @@ def regime_drift(
         rows.groupBy(*by)
         .agg(
             F.sum(difference * difference / expected).alias("chi2_statistic"),
-            shares("__c", "__C").alias("current_distribution"),
-            shares("__r", "__R").alias("reference_distribution"),
+            shares("__c", "__all_c").alias("current_distribution"),
+            shares("__r", "__all_r").alias("reference_distribution"),
         )
         .withColumns(
             {

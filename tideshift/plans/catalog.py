@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tideshift.plans import feature_queries, ingest_queries, regime_queries
+from tideshift.plans import feature_queries, ingest_queries, monitoring_queries, regime_queries
 from tideshift.plans.regime_queries import flagship
 
-MODULES = (feature_queries, ingest_queries, regime_queries)
+MODULES = (feature_queries, ingest_queries, regime_queries, monitoring_queries)
 
 
 def all_queries() -> dict:
