@@ -31,7 +31,7 @@ def canonical(frame: pd.DataFrame) -> pd.DataFrame:
         elif pd.api.types.is_numeric_dtype(column) and not pd.api.types.is_bool_dtype(column):
             out[name] = column.astype(float).map(lambda v: "NULL" if np.isnan(v) else repr(v + 0.0))
         else:
-            out[name] = column.map(lambda v: "NULL" if v is None or v is pd.NaT or v != v else str(v))
+            out[name] = column.map(lambda v: "NULL" if pd.api.types.is_scalar(v) and pd.isna(v) else str(v))
     made = pd.DataFrame(out)
     return made.sort_values(list(out)).reset_index(drop=True)
 

@@ -61,8 +61,13 @@ REPORT_COLUMNS = (
 )
 
 
+def _flags_as_numbers(df: DataFrame) -> DataFrame:
+    """Verdicts are missing where a test does not apply; 0, 1 and missing compare alike everywhere."""
+    return df.withColumns({c: F.col(c).cast("int") for c in ("ks_drift", "wasserstein_drift", "kl_drift")})
+
+
 def report_table(spark, sf) -> DataFrame:
-    return rounded(report(spark, sf).select(*REPORT_COLUMNS))
+    return rounded(_flags_as_numbers(report(spark, sf).select(*REPORT_COLUMNS)))
 
 
 def recent_report(spark, sf) -> DataFrame:
@@ -71,7 +76,7 @@ def recent_report(spark, sf) -> DataFrame:
     reference = drift.reference_rows(rows, order, by)
     current = drift.current_rows(rows, order, by)
     found = drift.drift_report(reference, current, by=by, checked_at=CHECKED)
-    return rounded(found.select("event_type", *REPORT_COLUMNS, "ks_pvalue"))
+    return rounded(_flags_as_numbers(found.select("event_type", *REPORT_COLUMNS, "ks_pvalue")))
 
 
 def regime_chi2(spark, sf) -> DataFrame:
@@ -361,7 +366,7 @@ ORACLE = {
         {', '.join(sql_round(f'{m}_{k}', f'{m}_{k}') for m in ('cur', 'ref') for k in range(3))} FROM chi""", "points"),
     "drift_severity": with_views(f"+ {_REPORT} SELECT feature, severity, drift_detected FROM rep", "points"),
     "drift_report": with_views(
-        f"+ {_REPORT} SELECT " + ", ".join(sql_round(c, c) if c in _DOUBLES else c for c in REPORT_COLUMNS) + " FROM rep", "points"),
+        f"+ {_REPORT} SELECT " + ", ".join(sql_round(c, c) if c in _DOUBLES else f"{c}::INTEGER AS {c}" if c in ("ks_drift", "wasserstein_drift", "kl_drift") else c for c in REPORT_COLUMNS) + " FROM rep", "points"),
     "drift_reference": with_views(
         f"""SELECT event_id, user_id, timestamp, event_type, {', '.join(sql_round(c, c) for c in ('wind_speed', 'energy_production', 'temperature', 'price'))} FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY timestamp DESC, event_id DESC) AS rn, count(*) OVER (PARTITION BY user_id) AS n FROM points)
