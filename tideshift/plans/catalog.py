@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from tideshift.plans import feature_queries, ingest_queries, monitoring_queries, regime_queries
+from tideshift.plans import (
+    feature_queries,
+    ingest_queries,
+    model_queries,
+    monitoring_queries,
+    regime_queries,
+    stream_queries,
+)
 from tideshift.plans.regime_queries import flagship
 
-MODULES = (feature_queries, ingest_queries, regime_queries, monitoring_queries)
+__all__ = ["all_oracles", "all_queries", "flagship"]
+
+MODULES = (feature_queries, ingest_queries, regime_queries, monitoring_queries, model_queries, stream_queries)
 
 
 def all_queries() -> dict:

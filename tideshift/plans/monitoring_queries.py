@@ -20,7 +20,11 @@ CHECKED = datetime(2024, 1, 31, 12)
 
 def prediction_log(spark, sf) -> DataFrame:
     """Every request scored by rule, also those outside the accepted ranges, with status and latency."""
-    scored = scoring.fallback_prediction(rule_regime(points(spark, sf)))
+    return to_log(points(spark, sf))
+
+
+def to_log(requests: DataFrame) -> DataFrame:
+    scored = scoring.fallback_prediction(rule_regime(requests))
     return scored.select(
         "event_id", "user_id", "timestamp", "event_type", "regime_id", "regime_name", "confidence", "model_name",
         F.lit("mock").alias("model_type"), "prediction",

@@ -42,8 +42,12 @@ FROM events GROUP BY 1"""
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One request per event, with values in and out of the accepted ranges."""
+    return to_points(table(spark, sf_dir, "events"))
+
+
+def to_points(events: DataFrame) -> DataFrame:
     value = F.col("value")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         "event_id",
         "user_id",
         F.col("ts").alias("timestamp"),

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PARTS = ("year", "month", "day")
@@ -51,16 +51,21 @@ def latest_ingested(df: DataFrame, keys: Sequence[str], ts: str = "timestamp", s
     return newest.select(*keys, ts, "__row.*").select(*df.columns)
 
 
-def write_quarantine(df: DataFrame, path: str, start: datetime, end: datetime, reason: str = "reason") -> None:
-    """Append rejected rows as JSON with the batch bounds, one folder per reason."""
+def write_quarantine(
+    df: DataFrame, path: str, start: datetime | None = None, end: datetime | None = None, reason: str = "reason"
+) -> None:
+    """Append rejected rows as JSON with the batch bounds, if any, one folder per reason."""
     quarantine_records(df, start, end, reason).write.mode("append").partitionBy("reason").json(path)
 
 
-def quarantine_records(df: DataFrame, start: datetime, end: datetime, reason: str = "reason") -> DataFrame:
+def quarantine_records(df: DataFrame, start: datetime | None, end: datetime | None, reason: str = "reason") -> DataFrame:
+    def text(at: datetime | None) -> Column:
+        return F.lit(at.isoformat() if at else None).cast("string")
+
     rest = [c for c in df.columns if c != reason]
     return df.select(
-        F.lit(start.isoformat()).alias("start_date"),
-        F.lit(end.isoformat()).alias("end_date"),
+        text(start).alias("start_date"),
+        text(end).alias("end_date"),
         F.col(reason).alias("reason"),
         F.to_json(F.struct(*rest)).alias("record"),
     )
