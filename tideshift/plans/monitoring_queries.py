@@ -71,7 +71,7 @@ def _flags_as_numbers(df: DataFrame) -> DataFrame:
 
 
 def report_table(spark, sf) -> DataFrame:
-    return rounded(_flags_as_numbers(report(spark, sf).select(*REPORT_COLUMNS)))
+    return rounded(_flags_as_numbers(report(spark, sf).select(*REPORT_COLUMNS)), 9)
 
 
 def recent_report(spark, sf) -> DataFrame:
@@ -214,10 +214,10 @@ QUERIES = {
     "hist_quantile": lambda s, d: rounded(
         metrics.histogram_quantile(latency_histogram(s, d), 0.95, ["regime_name", "model_name"])
     ),
-    "ks_stat": lambda s, d: rounded(distances(s, d).select("feature", "ks_statistic")),
-    "wasserstein": lambda s, d: rounded(distances(s, d).select("feature", "wasserstein_distance")),
-    "kl_divergence": lambda s, d: rounded(distances(s, d).select("feature", "kl_divergence")),
-    "drift_distances_keyed": lambda s, d: rounded(distances_by_type(s, d)),
+    "ks_stat": lambda s, d: rounded(distances(s, d).select("feature", "ks_statistic"), 9),
+    "wasserstein": lambda s, d: rounded(distances(s, d).select("feature", "wasserstein_distance"), 9),
+    "kl_divergence": lambda s, d: rounded(distances(s, d).select("feature", "kl_divergence"), 9),
+    "drift_distances_keyed": lambda s, d: rounded(distances_by_type(s, d), 9),
     "moment_shift": lambda s, d: rounded(drift.moment_shift(*_halves(points(s, d)), drift.WATCHED)),
     "regime_chi2": regime_chi2,
     "drift_severity": lambda s, d: report(s, d).select("feature", "severity", "drift_detected"),
@@ -358,11 +358,11 @@ ORACLE = {
         SELECT regime_name, model_name, 95e-2 AS quantile,
           {sql_round("CASE WHEN isinf(le) THEN lower_le ELSE lower_le + (le - lower_le) * (rank - lower_n) / (\"count\" - lower_n) END", 'value')}
         FROM b WHERE "count" >= rank AND lower_n < rank"""),
-    "ks_stat": with_views(f"+ {_tests_sql(_WATCHED)} SELECT feature, {sql_round('ks', 'ks_statistic')} FROM dist", "points"),
-    "wasserstein": with_views(f"+ {_tests_sql(_WATCHED)} SELECT feature, {sql_round('ws', 'wasserstein_distance')} FROM dist", "points"),
-    "kl_divergence": with_views(f"+ {_tests_sql(_WATCHED)} SELECT feature, {sql_round('kl', 'kl_divergence')} FROM kl", "points"),
+    "ks_stat": with_views(f"+ {_tests_sql(_WATCHED)} SELECT feature, {sql_round('ks', 'ks_statistic', 9)} FROM dist", "points"),
+    "wasserstein": with_views(f"+ {_tests_sql(_WATCHED)} SELECT feature, {sql_round('ws', 'wasserstein_distance', 9)} FROM dist", "points"),
+    "kl_divergence": with_views(f"+ {_tests_sql(_WATCHED)} SELECT feature, {sql_round('kl', 'kl_divergence', 9)} FROM kl", "points"),
     "drift_distances_keyed": with_views(
-        f"+ {_tests_sql(_WATCHED, 'event_type')} SELECT event_type, feature, {sql_round('ks', 'ks_statistic')}, {sql_round('ws', 'wasserstein_distance')}, {sql_round('kl', 'kl_divergence')} FROM dist JOIN kl USING (event_type, feature)", "points"),
+        f"+ {_tests_sql(_WATCHED, 'event_type')} SELECT event_type, feature, {sql_round('ks', 'ks_statistic', 9)}, {sql_round('ws', 'wasserstein_distance', 9)}, {sql_round('kl', 'kl_divergence', 9)} FROM dist JOIN kl USING (event_type, feature)", "points"),
     "moment_shift": with_views(f"+ {_tests_sql(_WATCHED)} SELECT feature, {_MOMENT_COLUMNS} FROM mom", "points"),
     "regime_chi2": with_views(
         f"""+ {_SCORED}, {_chi_sql('event_type')} SELECT event_type, {sql_round('chi2', 'chi2_statistic')}, chi2 > 10 AS drift_detected,
@@ -370,7 +370,7 @@ ORACLE = {
         {', '.join(sql_round(f'{m}_{k}', f'{m}_{k}') for m in ('cur', 'ref') for k in range(3))} FROM chi""", "points"),
     "drift_severity": with_views(f"+ {_REPORT} SELECT feature, severity, drift_detected FROM rep", "points"),
     "drift_report": with_views(
-        f"+ {_REPORT} SELECT " + ", ".join(sql_round(c, c) if c in _DOUBLES else f"{c}::INTEGER AS {c}" if c in ("ks_drift", "wasserstein_drift", "kl_drift") else c for c in REPORT_COLUMNS) + " FROM rep", "points"),
+        f"+ {_REPORT} SELECT " + ", ".join(sql_round(c, c, 9) if c in _DOUBLES else f"{c}::INTEGER AS {c}" if c in ("ks_drift", "wasserstein_drift", "kl_drift") else c for c in REPORT_COLUMNS) + " FROM rep", "points"),
     "drift_reference": with_views(
         f"""SELECT event_id, user_id, timestamp, event_type, {', '.join(sql_round(c, c) for c in ('wind_speed', 'energy_production', 'temperature', 'price'))} FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY timestamp DESC, event_id DESC) AS rn, count(*) OVER (PARTITION BY user_id) AS n FROM points)

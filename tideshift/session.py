@@ -23,7 +23,6 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -53,12 +52,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into reliable storage and go on from there.
+    """Write ``df`` below the shared folder once and go on from the stored table.
 
     Needed wherever rows carry a value that a recomputation could change (the number of the range
-    partition a row fell into) and between the rounds of an iterative fit.
+    partition a row fell into) and between the rounds of an iterative fit. Being columnar, the table is
+    read back with only the columns each consumer needs. The folder's owner clears it after the session.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
