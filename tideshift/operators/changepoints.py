@@ -24,13 +24,22 @@ BLOCK_ROWS = 2048
 
 def kernel_sums(x: np.ndarray) -> np.ndarray:
     """Summed-area table of the kernel matrix; the bandwidth is the median squared distance."""
+    n = len(x)
     d = (x[:, None] - x[None, :]) ** 2
-    upper = d[np.triu_indices(len(x), 1)]
-    middle = np.median(upper) if len(upper) else 0.0
-    k = np.exp(-np.clip(d / middle if middle else d, *DISTANCE_BOUNDS))
+    middle = 0.0
+    if n > 1:
+        # In the whole matrix every pair occurs twice, after the n zeros of the diagonal.
+        pairs = n * (n - 1) // 2
+        at = [n + 2 * ((pairs - 1) // 2), n + 2 * (pairs // 2)]
+        ordered = np.partition(d, at, axis=None)
+        middle = (ordered[at[0]] + ordered[at[1]]) / 2
+    if middle:
+        d /= middle
+    np.clip(d, *DISTANCE_BOUNDS, out=d)
+    k = np.exp(np.negative(d, out=d), out=d)
     np.fill_diagonal(k, 1.0)
-    table = np.zeros((len(x) + 1, len(x) + 1))
-    table[1:, 1:] = k.cumsum(0).cumsum(1)
+    table = np.zeros((n + 1, n + 1))
+    np.cumsum(np.cumsum(k, axis=0, out=k), axis=1, out=table[1:, 1:])
     return table
 
 
@@ -129,7 +138,9 @@ def change_points(
             made.insert(0, k, group[k].iloc[0])
         return made
 
-    found = placed.groupBy(*keys, "__block").applyInPandas(search, schema)
+    # Few bytes but much work per block: a fixed number of partitions keeps small inputs spread out.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = placed.repartition(parts, *keys, "__block").groupBy(*keys, "__block").applyInPandas(search, schema)
     longest = numbered.agg(F.max("__rows")).collect()[0][0] or 0
     if longest < 2 * block_rows:
         return found.select(*keys, "segment_end")

@@ -77,9 +77,12 @@ def pack(
     keys, place = tuple(keys), (ts, *tie)
     features = F.array(*[F.col(c).cast("double") for c in columns])
     rows = df.dropna("any", subset=list(columns)).select(*keys, *place, features.alias("__x"))
-    numbered = ordered_runs(rows, keys, place, max_rows).numbered("__n", total="__rows")
+    runs = ordered_runs(rows, keys, place, max_rows)
+    numbered = runs.numbered("__n", total="__rows")
     block = F.floor((F.col("__n") - 1) / block_rows)
-    gathered = numbered.groupBy(*keys, block.alias("block")).agg(
+    # Whole series already lie together, and grouping within them needs no further exchange.
+    group = keys if runs.split else runs.group
+    gathered = numbered.groupBy(*group, block.alias("block")).agg(
         F.array_sort(F.collect_list(F.struct("__n", F.struct(*place).alias("place"), "__x"))).alias("__rows_in"),
         F.ceil(F.first("__rows") / block_rows).alias("n_blocks"),
     )

@@ -5,7 +5,8 @@ from __future__ import annotations
 from tideshift.operators import features as fe
 from tideshift.plans.views import hourly, keyed, points, rounded, sql_round, with_views
 
-KEY = {"keys": ("series",)}
+# One row per series and day, so a series has a few thousand rows at any scale and needs no size check.
+KEY = {"keys": ("series",), "max_rows": None}
 W = "(PARTITION BY series ORDER BY timestamp{frame})"
 
 
@@ -92,7 +93,7 @@ QUERIES = {name: _family(kind) for name, kind in NAMES.items()}
 ORACLE = {name: _windows_sql("keyed", [kind]) for name, kind in NAMES.items()}
 
 QUERIES |= {
-    "feature_table": lambda spark, sf: rounded(fe.engineer_features(hourly(spark, sf))),
+    "feature_table": lambda spark, sf: rounded(fe.engineer_features(hourly(spark, sf), max_rows=None)),
     "feature_table_keyed": lambda spark, sf: rounded(fe.engineer_features(keyed(spark, sf), **KEY)),
     "temporal_parts": lambda spark, sf: fe.add_calendar(
         points(spark, sf).select("event_id", "timestamp"), cyclic=False

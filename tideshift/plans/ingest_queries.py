@@ -16,7 +16,8 @@ from tideshift.sources import lake
 from tideshift.sources import payloads as pay
 from tideshift.sources.logs import iso_text
 
-KEY = {"keys": ("series",)}
+# One row per series and day, so a series has a few thousand rows at any scale and needs no size check.
+KEY = {"keys": ("series",), "max_rows": None}
 RECORD = T.StructType(
     [
         T.StructField("HourUTC", T.StringType()),
@@ -183,7 +184,7 @@ def feature_set_list(spark, sf) -> DataFrame:
 
 
 def daily_spine(spark, sf) -> DataFrame:
-    return gaps.on_spine(keyed(spark, sf), 86400, **KEY)
+    return gaps.on_spine(keyed(spark, sf), 86400, KEY["keys"])
 
 
 def batch(spark, sf) -> DataFrame:

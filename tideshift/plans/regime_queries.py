@@ -16,7 +16,8 @@ from tideshift.plans.feature_queries import ALL, _windows_sql
 from tideshift.plans.ingest_queries import MEASURES, POINT_COLUMNS, REASON, SPINE, SQL_TEXT, _texts, daily_spine
 from tideshift.plans.views import REGIME_CASE, hourly, keyed, points, rounded, sql_round, table, with_views
 
-KEY = {"keys": ("series",)}
+# One row per series and day, so a series has a few thousand rows at any scale and needs no size check.
+KEY = {"keys": ("series",), "max_rows": None}
 
 # Parameters of a fitted detector, taken as given here: start weights, means and variances of two measures.
 POSTERIOR = {
@@ -64,7 +65,7 @@ def segment_volatility(spark, sf) -> DataFrame:
 
 def segment_regimes(spark, sf) -> DataFrame:
     found = segment_volatility(spark, sf).withColumn("volatility", F.round("volatility", 9))
-    return regimes.segment_regimes(found, keys=["series"]).select("series", "segment", "segment_end", "regime_id")
+    return regimes.segment_regimes(found, **KEY).select("series", "segment", "segment_end", "regime_id")
 
 
 def segment_labels(spark, sf) -> DataFrame:
@@ -158,7 +159,7 @@ QUERIES = {
 
 def flagship(spark, sf) -> DataFrame:
     """Features of the hourly series, regimes by rule, and size and means of each regime."""
-    rows = regimes.rule_regime(engineer_features(hourly(spark, sf)))
+    rows = regimes.rule_regime(engineer_features(hourly(spark, sf), max_rows=None))
     measured = rows.groupBy("regime_id", "regime_name").agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[F.avg(c).alias(f"mean_{c}") for c in ("wind_speed", "energy_production", "price", "price_ma_24h", "price_cv_6h")],

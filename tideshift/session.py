@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
-    app: str = "tideshift", master: str | None = None, shuffle_partitions: int | None = None
+    app: str = "tideshift",
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
+    driver_memory: str | None = None,
 ) -> SparkSession:
     """A session with the settings the operators rely on: UTC, ANSI and adaptive execution.
 
@@ -26,6 +29,8 @@ def build_session(
     )
     if master:
         builder = builder.master(master)
+    if driver_memory:  # a local session runs its tasks in the driver
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
