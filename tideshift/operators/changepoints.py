@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tideshift.operators.regimes import label_segments, one_hot, regime_name
 from tideshift.operators.runs import MAX_ROWS, ordered_runs
-from tideshift.session import settle
+from tideshift.session import settle, shuffle_partitions
 
 # Defaults of the search and the bounds of the scaled squared distances.
 PENALTY = 10.0
@@ -139,7 +139,7 @@ def change_points(
         return made
 
     # Few bytes but much work per block: a fixed number of partitions keeps small inputs spread out.
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = shuffle_partitions(df.sparkSession)
     found = placed.repartition(parts, *keys, "__block").groupBy(*keys, "__block").applyInPandas(search, schema)
     longest = numbered.agg(F.max("__rows")).collect()[0][0] or 0
     if longest < 2 * block_rows:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tideshift.functions.values import micros
 from tideshift.operators.features import MEASURES
 from tideshift.operators.runs import HALO, MAX_ROWS, ordered_runs
+from tideshift.session import shuffle_partitions
 
 STEPS_PER_ROW = 4096
 
@@ -49,7 +50,7 @@ def spine(df: DataFrame, step_seconds: int = 3600, keys: Sequence[str] = (), ts:
             F.sequence(F.lit(0).cast("long"), F.floor((F.col("__b") - F.col("__a")) / step), F.lit(STEPS_PER_ROW).cast("long"))
         ).alias("__i"),
     )
-    spread = pieces.repartition(*keys, "__i")
+    spread = pieces.repartition(shuffle_partitions(df.sparkSession), *keys, "__i")
     last = F.least(F.col("__i") + STEPS_PER_ROW - 1, F.col("__n"))
     return spread.select(*keys, "__a", F.explode(F.sequence("__i", last)).alias("__i")).select(
         *keys, F.timestamp_micros(F.col("__a") + F.col("__i") * step).cast(df.schema[ts].dataType).alias(ts)

@@ -350,17 +350,25 @@ def _maximize(model: HmmModel, stats: np.ndarray) -> HmmModel:
     )
 
 
-def initial_model(df: DataFrame, columns: Sequence[str], n_regimes: int = REGIMES, seed: int = SEED) -> HmmModel:
+def _features(blocks: Blocks) -> DataFrame:
+    """The packed feature rows, unpacked."""
+    d = len(blocks.columns)
+    starts = F.sequence(F.lit(0), (F.size("xs") / d).cast("int") - 1)
+    rows = blocks.df.select(F.explode(F.transform(starts, lambda i: F.slice("xs", i * d + 1, d))).alias("x"))
+    return rows.select(*[F.col("x")[i].alias(c) for i, c in enumerate(blocks.columns)])
+
+
+def initial_model(blocks: Blocks, n_regimes: int = REGIMES, seed: int = SEED) -> HmmModel:
     """Even start and transition weights, k-means centres, the overall variance for every regime."""
-    rows = df.dropna("any", subset=list(columns)).select(*[F.col(c).cast("double").alias(c) for c in columns])
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="features").transform(rows)
+    rows, columns = _features(blocks), list(blocks.columns)
+    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(rows)
     centres = KMeans(k=n_regimes, seed=seed, featuresCol="features").fit(vectors.select("features")).clusterCenters()
     spread = rows.agg(*[F.var_samp(c).alias(c) for c in columns]).collect()[0]
     # k-means may find fewer centres than asked for; a copy keeps the shape.
     means = np.array([centres[i % len(centres)] for i in range(n_regimes)], dtype=float)
     variances = np.tile([float(spread[c] or 0.0) + VARIANCE_FLOOR for c in columns], (n_regimes, 1))
     even = np.full(n_regimes, 1.0 / n_regimes)
-    return HmmModel(tuple(columns), even, np.tile(even, (n_regimes, 1)), means, variances)
+    return HmmModel(blocks.columns, even, np.tile(even, (n_regimes, 1)), means, variances)
 
 
 def fit(
@@ -383,7 +391,7 @@ def fit(
     Each round is one pass over the stored blocks; the driver only sees one array of sums.
     """
     packed = blocks or pack(df, columns, keys, ts, tie, block_rows, max_rows)
-    model = start_from or initial_model(df, columns, n_regimes, seed)
+    model = start_from or initial_model(packed, n_regimes, seed)
     trace: list[float] = []
     for _ in range(n_iter):
         stats = _expectation(packed, model)

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideshift.session import settle
+
 # Layer sizes and the optimiser's settings.
 HIDDEN = (64, 32)
 LEARNING_RATE = 1e-3
@@ -77,10 +79,15 @@ def fit_neural(
     hidden: Sequence[int] = HIDDEN,
     learning_rate: float = LEARNING_RATE,
     seed: int = SEED,
+    stored: bool = False,
 ) -> NeuralRegressor:
-    """Full-batch training of a rectified network with squared loss and adaptive moments."""
+    """Full-batch training of a rectified network with squared loss and adaptive moments.
+
+    The needed columns are stored once, as every epoch reads them; ``stored`` says that they already are.
+    """
     names = [*columns, target]
     rows = df.dropna("any", subset=names).select(*[F.col(c).cast("double").alias(c) for c in names])
+    rows = rows if stored else settle(rows)
     stats = rows.agg(
         F.count(F.lit(1)).alias("n"),
         *[f(c).alias(f"{k}_{i}") for i, c in enumerate(names) for k, f in (("m", F.avg), ("s", F.stddev_pop))],

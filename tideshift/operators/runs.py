@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tideshift.session import settle
 
 MAX_ROWS = 2_000_000
+MAX_RUNS = 20_000  # one shuffle stays manageable; beyond it runs grow instead, and sorting spills
 MAX_HEAVY = 10_000
 RUN = "__run"
 HALO = "__halo"
@@ -214,7 +215,8 @@ def ordered_runs(
         listed = F.broadcast(heavy.drop("__n"))  # at most MAX_HEAVY rows
         large = join_keys(df, listed, keys, "left_semi")
         small = join_keys(df, listed, keys, "left_anti").withColumn(RUN, F.lit(0))
-    ranged = large.repartitionByRange(-(-rows // max_rows) + 1, *keys, *order).withColumn(
+    n_runs = min(-(-rows // max_rows) + 1, MAX_RUNS)
+    ranged = large.repartitionByRange(n_runs, *keys, *order).withColumn(
         RUN, F.spark_partition_id() + 1
     )
     # Range bounds come from a sample, so the run numbers must be written down before reuse.

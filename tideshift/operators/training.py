@@ -16,6 +16,8 @@ from tideshift.functions.values import micros
 from tideshift.operators.neural import NeuralRegressor, fit_neural
 from tideshift.operators.registry import append_runs, run_record
 from tideshift.operators.summaries import regression_errors
+from tideshift.session import settle
+from tideshift.sources.logs import hash_share
 
 # Model per regime and model settings.
 MODEL_BY_REGIME = {0: "boosted_trees", 1: "neural", 2: "random_forest"}
@@ -44,10 +46,8 @@ class Trained:
 
 
 def split_rows(df: DataFrame, identity: Sequence[str], test_share: float = TEST_SHARE, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """Random training and test rows. The draw hashes the row's identity, so a recomputed partition
-    draws the same rows again."""
-    draw = F.pmod(F.xxhash64(*identity, F.lit(seed)), F.lit(10_000))
-    test = draw < int(test_share * 10_000)
+    """Random training and test rows, drawn by the identity of a row."""
+    test = hash_share(identity, test_share, seed)
     return df.where(~test), df.where(test)
 
 
@@ -82,7 +82,7 @@ def _fit_trees(estimator, train: DataFrame, columns: Sequence[str]) -> PipelineM
 
 
 def fit_network(train: DataFrame, columns: Sequence[str], target: str, s: Settings = Settings()):
-    return fit_neural(train, columns, target, epochs=s.epochs, seed=s.seed)
+    return fit_neural(train, columns, target, epochs=s.epochs, seed=s.seed, stored=True)
 
 
 FITTERS: dict[str, Callable] = {
@@ -123,13 +123,16 @@ def train_regimes(
         raise ValueError(f"rows need a '{regime}' column")
     # Infinite rates of change cannot enter a model; they count as incomplete here.
     finite = [F.abs(F.col(c).cast("double")) != float("inf") for c in columns]
-    usable = df.dropna("any").where(F.forall(F.array(*finite), lambda ok: ok))
+    complete = df.dropna("any").where(F.forall(F.array(*finite), lambda ok: ok))
+    needed = dict.fromkeys([*identity, ts, *columns, target, regime])
+    # Computed once and stored by regime: every fit passes over its rows many times.
+    usable = settle(complete.select(*needed), by=(regime,))
     sizes = {r[regime]: r["count"] for r in usable.groupBy(regime).count().collect()}
     trained = Trained()
     for k in sorted(sizes):
         if sizes[k] < minimum:
             continue
-        rows = usable.where(F.col(regime) == k).select(*dict.fromkeys([*identity, ts, *columns, target]))
+        rows = usable.where(F.col(regime) == k).drop(regime)
         train, test = (
             split_by_time(rows, ts, settings.test_share)
             if split == "temporal"

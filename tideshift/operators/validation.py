@@ -70,17 +70,19 @@ def out_of_range(ranges: Mapping[str, tuple[float, float]] = RANGES) -> Column:
     return broken
 
 
-def check_ranges(df: DataFrame, ranges: Mapping[str, tuple[float, float]] = RANGES) -> DataFrame:
-    """Rows plus ``reason``, missing for valid rows."""
-    return df.withColumn("reason", out_of_range(ranges))
+def check_ranges(
+    df: DataFrame, ranges: Mapping[str, tuple[float, float]] = RANGES, ts: str | None = None
+) -> DataFrame:
+    """Rows plus ``reason``, missing for valid rows. With ``ts`` a missing timestamp is a reason too."""
+    reason = out_of_range(ranges)
+    return df.withColumn("reason", F.when(F.col(ts).isNull(), ts).otherwise(reason) if ts else reason)
 
 
-def split_valid(df: DataFrame, ranges: Mapping[str, tuple[float, float]] = RANGES, ts: str | None = None):
-    """Valid rows and rejected rows with a reason. With ``ts`` a missing timestamp is a reason too."""
-    reason = out_of_range(ranges)
-    if ts:
-        reason = F.when(F.col(ts).isNull(), ts).otherwise(reason)
-    checked = df.withColumn("reason", reason)
+def split_valid(
+    df: DataFrame, ranges: Mapping[str, tuple[float, float]] = RANGES, ts: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Valid rows, and rejected rows with a reason."""
+    checked = check_ranges(df, ranges, ts)
     return checked.where(F.col("reason").isNull()).drop("reason"), checked.where(F.col("reason").isNotNull())
 
 

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tideshift.operators.gaps import forward_fill
 from tideshift.operators.joins import exact_join, nearest_join
 from tideshift.operators.runs import MAX_ROWS
-from tideshift.operators.validation import missing_columns, split_valid, stamp_batch
+from tideshift.operators.validation import check_ranges, missing_columns, stamp_batch
+from tideshift.session import settle
+from tideshift.sources.lake import write_lake, write_quarantine
 from tideshift.sources.payloads import normalize
 
 
@@ -52,12 +56,20 @@ def ingest_batch(
     source: str = "landed",
     keys: Sequence[str] = (),
     **options,
-) -> tuple[DataFrame, DataFrame]:
-    """Raw source rows to accepted and quarantined measurements."""
+) -> DataFrame:
+    """Raw source rows to stamped measurements, with a ``reason`` on those to quarantine."""
     frames = [None if f is None else normalize(f, keys=keys) for f in (energy, prices, weather)]
     joined = join_measurements(*frames, keys=keys, **options)
     missing = missing_columns(joined)
     if missing:
         raise RejectedBatch(f"missing columns {missing}")
-    good, bad = split_valid(joined, ts="timestamp")
-    return stamp_batch(good, source), bad
+    return stamp_batch(check_ranges(joined, ts="timestamp"), source)
+
+
+def store_batch(
+    checked: DataFrame, lake: str, quarantine: str, start: datetime | None = None, end: datetime | None = None
+) -> None:
+    """Accepted rows to the lake, the others to quarantine. The batch is computed once for both."""
+    stored = settle(checked)
+    write_lake(stored.where(F.col("reason").isNull()).drop("reason"), lake)
+    write_quarantine(stored.where(F.col("reason").isNotNull()), quarantine, start, end)

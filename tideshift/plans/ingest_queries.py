@@ -200,9 +200,7 @@ def batch(spark, sf) -> DataFrame:
     prices = source("click", (cents * 2).alias("SpotPriceDKK"), F.col("user_id").alias("PriceArea"))
     weather = source("view", (cents / 1024).alias("wind_speed"), (cents / 512 - 32).alias("temperature"))
     once = weather.groupBy("timestamp").agg(F.max("wind_speed").alias("wind_speed"), F.max("temperature").alias("temperature"))
-    good, bad = ingest_batch(energy, prices, once, source="events")
-    stamped = good.drop("ingestion_timestamp").withColumn("reason", F.lit(None).cast("string"))
-    return rounded(stamped.unionByName(bad.withColumn("data_source", F.lit("events"))))
+    return rounded(ingest_batch(energy, prices, once, source="events").drop("ingestion_timestamp"))
 
 
 QUERIES = {

@@ -6,11 +6,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideshift.operators import changepoints, hmm, registry, scaling, scoring, training
+from tideshift.operators import changepoints, hmm, metrics, registry, scaling, scoring, training
 from tideshift.operators.features import drop_incomplete, window_columns
 from tideshift.operators.regimes import rule_regime
 from tideshift.plans.views import keyed, rounded, sql_round, table, with_views
-from tideshift.session import scratch_path
+from tideshift.session import scratch_path, settle
 
 # One row per series and day, so a series has a few thousand rows at any scale and needs no size check.
 KEY = {"keys": ("series",), "max_rows": None}
@@ -63,7 +63,7 @@ def train_all(spark, sf) -> DataFrame:
 
 def fit_one(name: str):
     def query(spark, sf) -> DataFrame:
-        rows = training_rows(spark, sf).select(*IDENTITY, "energy_production", *FEATURES)
+        rows = settle(training_rows(spark, sf).select(*IDENTITY, "energy_production", *FEATURES))
         train, test = training.split_rows(rows, IDENTITY)
         model = training.FITTERS[name](train, FEATURES, "energy_production", SMALL)
         return model.transform(test).select(*IDENTITY, "energy_production", "prediction")
@@ -72,9 +72,8 @@ def fit_one(name: str):
 
 
 def split(spark, sf) -> DataFrame:
-    train, test = training.split_rows(keyed(spark, sf), IDENTITY)
-    parts = [p.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("part", F.lit(n)) for n, p in (("train", train), ("test", test))]
-    return parts[0].unionByName(parts[1])
+    train, test = training.split_rows(keyed(spark, sf).select(*IDENTITY), IDENTITY)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
 def split_temporal(spark, sf) -> DataFrame:
@@ -154,6 +153,9 @@ QUERIES = {
         "name", F.size("latest_versions").alias("n_stages"), F.element_at("latest_versions", -1)["version"].alias("highest")
     ),
     "registry_pick": lambda s, d: registry.pick_models(versions(s, d), NAMES),
+    "metric_models_loaded": lambda s, d: metrics.models_loaded(
+        registry.pick_models(versions(s, d), NAMES).withColumnRenamed("name", "model_name")
+    ),
 }
 
 
@@ -236,6 +238,16 @@ ORACLE = {
         SELECT k.*, regime_id, {_PROBABILITIES}, CASE regime_id WHEN 0 THEN 'volatile' WHEN 1 THEN 'neutral' ELSE 'stable' END AS regime_name
         FROM keyed k JOIN gm ON k.series = gm.series AND k.timestamp = gm.timestamp JOIN pt ON k.series = pt.series AND k.timestamp = pt.timestamp"""
     ),
+    "split": with_views(
+        """SELECT series, timestamp, CASE WHEN substr(md5(series || '|' || timestamp::VARCHAR || '|42'), 1, 8) < '33333333' THEN 'test' ELSE 'train' END AS part
+        FROM keyed""", "keyed"),
+    "split_temporal": with_views(
+        """+ c AS (SELECT quantile_disc(timestamp, 0.8) AS cut FROM keyed)
+        SELECT CASE WHEN timestamp > cut THEN 'test' ELSE 'train' END AS part, min(timestamp) AS first, max(timestamp) AS last, count(*) AS n_rows
+        FROM keyed, c GROUP BY 1""", "keyed"),
+    "metric_models_loaded": f"""WITH {_VERSIONS} SELECT count(DISTINCT name) AS models_loaded,
+        string_agg(DISTINCT 'regime_' || (CAST(name[8] AS INTEGER) - 1) || ':' || name, ',' ORDER BY 'regime_' || (CAST(name[8] AS INTEGER) - 1) || ':' || name) AS models
+        FROM vs WHERE stage = 'Production' AND name <= 'regime_3'""",
     "registry_promote": f"WITH {_VERSIONS} SELECT * FROM vs",
     "registry_latest": f"WITH {_VERSIONS} SELECT * FROM vs QUALIFY row_number() OVER (PARTITION BY name, stage ORDER BY version DESC) = 1",
     "registry_models": f"WITH {_VERSIONS} SELECT name, CAST(count(DISTINCT stage) AS INTEGER) AS n_stages, max(version) AS highest FROM vs GROUP BY 1",

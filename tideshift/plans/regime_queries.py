@@ -269,6 +269,7 @@ ORACLE = {
     "batch_counts": with_views(
         f"""SELECT event_type, count(*) FILTER (reason IS NULL) AS n_succeeded, count(*) FILTER (reason IS NOT NULL) AS n_failed
         FROM (SELECT event_type, {REASON} AS reason FROM points) GROUP BY 1""", "points"),
+    "inference_sample": "SELECT event_id FROM events WHERE substr(md5(event_id || '|42'), 1, 8) < '028f5c28'",
     "relabel_volatility": with_views(
         f"""+ {LABELLED}, o AS (SELECT regime_id, row_number() OVER (ORDER BY stddev_pop(energy_production) DESC) - 1 AS r FROM l GROUP BY 1)
         SELECT series, timestamp, CAST(o.r AS INTEGER) AS regime_id FROM l JOIN o ON l.regime_id = o.regime_id""", "keyed"),

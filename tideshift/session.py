@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,13 +57,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` below the shared folder once and go on from the stored table.
 
+    ``by`` lays the table out in folders, so that a filter on these columns reads only its part.
+
     Needed wherever rows carry a value that a recomputation could change (the number of the range
     partition a row fell into) and between the rounds of an iterative fit. Being columnar, the table is
     read back with only the columns each consumer needs. The folder's owner clears it after the session.
     """
     path = scratch_path(df.sparkSession, "settled")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The session's shuffle width, for steps with little data but much work per row: an explicit number
+    keeps adaptive execution from merging their partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

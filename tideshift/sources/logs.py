@@ -25,8 +25,15 @@ def with_correlation_id(df: DataFrame, column: str = "correlation_id") -> DataFr
 
 
 def hash_share(columns: Sequence[str], share: float, seed: int = 42) -> Column:
-    """A repeatable draw: true for about ``share`` of the distinct values of ``columns``."""
-    return F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000)
+    """A repeatable draw: true for about ``share`` of the distinct values of ``columns``.
+
+    The first 32 bits of a digest, as hexadecimal text, are compared with the share of their range. A
+    recomputed task draws the same rows again, which a random number generator would not promise.
+    """
+    if share >= 1:
+        return F.lit(True)
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns], F.lit(str(seed)))
+    return F.substring(F.md5(text), 1, 8) < f"{int(share * 2**32):08x}"
 
 
 def prediction_log(

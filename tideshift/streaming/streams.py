@@ -12,8 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tideshift.operators import drift
 from tideshift.operators.scoring import score_batch
-from tideshift.operators.validation import split_valid, stamp_batch
-from tideshift.sources.lake import write_lake, write_quarantine
+from tideshift.operators.validation import check_ranges, stamp_batch
+from tideshift.plans.ingest import store_batch
 from tideshift.sources.payloads import explode_records, normalize
 
 CHECK_EVERY = "300 seconds"
@@ -48,9 +48,7 @@ def ingest_stream(
 
     def store(batch: DataFrame, _: int) -> None:
         rows = normalize(explode_records(batch.withColumnRenamed("value", "payload"), record), keys=keys)
-        good, bad = split_valid(rows, ts="timestamp")
-        write_lake(stamp_batch(good, "stream"), lake)
-        write_quarantine(bad, quarantine)
+        store_batch(stamp_batch(check_ranges(rows, ts="timestamp"), "stream"), lake, quarantine)
 
     writer = files.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return _start(writer, once)
