@@ -110,13 +110,11 @@ def _distances(long: DataFrame, group: list[str], bins: int, max_rows: int | Non
     """
     counts = long.groupBy(*group, "value").agg(F.count_if("__ref").alias("__r"), F.count_if(~F.col("__ref")).alias("__c"))
     runs = ordered_runs(counts, group, ("value",), max_rows)
-    runs = runs.replace(
-        runs.whole(
-            {"__all_r": ("sum", "__r"), "__all_c": ("sum", "__c"), "__low": ("min", "value"), "__high": ("max", "value")}
-        )
-    )
     runs = runs.replace(runs.last_known({"value": "__previous"}, strict=True))
-    rows = runs.cumulative({"__r": "__upto_r", "__c": "__upto_c"})
+    runs = runs.replace(runs.cumulative({"__r": "__upto_r", "__c": "__upto_c"}))
+    rows = runs.whole(
+        {"__all_r": ("sum", "__r"), "__all_c": ("sum", "__c"), "__low": ("min", "value"), "__high": ("max", "value")}
+    )
 
     gap = F.abs(F.col("__upto_r") / F.col("__all_r") - F.col("__upto_c") / F.col("__all_c"))
     gap_before = F.abs(

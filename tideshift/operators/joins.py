@@ -38,9 +38,12 @@ def nearest_join(
         raise ValueError(f"both sides have {sorted(clash)}")
     picked = F.struct(*values)
     # One right row per timestamp, collapsed before the shuffle where many rows share one.
-    unique = right.where(F.col(ts).isNotNull()).groupBy(*keys, ts).agg(
-        (F.max_by(picked, F.struct(*tie)) if tie else F.max(picked)).alias("__values")
-    )
+    known = right.where(F.col(ts).isNotNull()).groupBy(*keys, ts)
+    if len(tie) == 1:  # column by column, which a hash aggregate can hold
+        last = known.agg(*[F.max_by(c, tie[0]).alias(c) for c in values])
+        unique = last.select(*keys, ts, picked.alias("__values"))
+    else:
+        unique = known.agg((F.max_by(picked, F.struct(*tie)) if tie else F.max(picked)).alias("__values"))
     columns = F.struct(*left.columns)
     both = (
         left.select(*keys, ts, F.lit(1).alias("__side"), F.xxhash64(*left.columns).alias("__salt"), columns.alias("__left"))

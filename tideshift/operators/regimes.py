@@ -114,8 +114,8 @@ def assign_segments(
     )
     both = rows.unionByName(ends, allowMissingColumns=True)
     runs = ordered_runs(both, keys, ("position", "__side"), max_rows)
-    runs = runs.replace(runs.whole({"n_segments": ("sum", "__end")}))
-    counted = runs.cumulative({"__end": "segment"}).where(F.col("__side") == 1)
+    runs = runs.replace(runs.cumulative({"__end": "segment"}))
+    counted = runs.whole({"n_segments": ("sum", "__end")}).where(F.col("__side") == 1)
     return counted.select("__row.*", "position", "segment", "n_segments")
 
 

@@ -10,7 +10,7 @@ values (``carry``) and sums (``cumulative``, ``numbered``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -63,13 +63,15 @@ class OrderedRuns:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     split: bool
+    stored: DataFrame | None = None
     group: list[str] = field(init=False)
 
     def __post_init__(self):
         object.__setattr__(self, "group", [*self.keys, RUN])
 
-    def replace(self, df: DataFrame) -> "OrderedRuns":
-        return OrderedRuns(df, self.keys, self.order, self.split)
+    def replace(self, df: DataFrame, same_rows: bool = True) -> "OrderedRuns":
+        """The same layout with other columns, or with other rows if said so."""
+        return OrderedRuns(df, self.keys, self.order, self.split, self.stored if same_rows else None)
 
     @property
     def window(self) -> WindowSpec:
@@ -79,8 +81,11 @@ class OrderedRuns:
     def backwards(self) -> WindowSpec:
         return Window.partitionBy(*self.group).orderBy(*[F.desc(c) for c in self.order])
 
-    def _per_run(self, *aggs: Column) -> DataFrame:
-        return self.df.where(F.col(RUN) > 0).groupBy(*self.group).agg(*aggs)
+    def _per_run(self, columns: Iterable[str], *aggs: Column) -> DataFrame:
+        """One row per run. Columns of the stored runs are read from there, past all derived columns."""
+        plain = self.stored is not None and set(columns) <= set(self.stored.columns)
+        rows = self.stored if plain else self.df.where(F.col(RUN) > 0)
+        return rows.groupBy(*self.group).agg(*aggs)
 
     def _runs_in_order(self) -> WindowSpec:
         return Window.partitionBy(*self.keys).orderBy(RUN)
@@ -92,10 +97,10 @@ class OrderedRuns:
         """
         own = self.df.withColumn(HALO, F.lit(False))
         if not self.split or rows <= 0:
-            return self.replace(own)
+            return self.replace(own, same_rows=False)
         before = self._runs_in_order().rowsBetween(Window.unboundedPreceding, -1)
         after = self._runs_in_order().rowsBetween(1, rows)
-        starts = self._per_run(F.count(F.lit(1)).alias("__size")).withColumn(
+        starts = self._per_run([], F.count(F.lit(1)).alias("__size")).withColumn(
             "__start", F.coalesce(F.sum("__size").over(before), F.lit(0))
         )
         # A later run needs a row if fewer than `rows` rows lie between the row and the run's start.
@@ -115,7 +120,7 @@ class OrderedRuns:
             .withColumn(HALO, F.lit(True))
             .select(*own.columns)
         )
-        return self.replace(own.unionByName(moved))
+        return self.replace(own.unionByName(moved), same_rows=False)
 
     def carry(self, columns: dict[str, str], backward: bool = False) -> DataFrame:
         """Per run, the last known value of each column in the earlier (or later) runs of its series.
@@ -125,6 +130,7 @@ class OrderedRuns:
         place = F.struct(*self.order)
         pick = F.min_by if backward else F.max_by
         ends = self._per_run(
+            [*columns, *self.order],
             *[pick(F.col(c), F.when(F.col(c).isNotNull(), place)).alias(f"__end_{i}") for i, c in enumerate(columns)]
         )
         if backward:
@@ -159,7 +165,7 @@ class OrderedRuns:
         out = self.df.withColumns({n: getattr(F, f)(c).over(everything) for n, (f, c) in columns.items()})
         if not self.split:
             return out
-        parts = self._per_run(*[getattr(F, f)(c).alias(f"__p_{n}") for n, (f, c) in columns.items()])
+        parts = self._per_run([c for _, c in columns.values()], *[getattr(F, f)(c).alias(f"__p_{n}") for n, (f, c) in columns.items()])
         series = Window.partitionBy(*self.keys)
         combined = parts.select(
             *self.group, *[getattr(F, f)(f"__p_{n}").over(series).alias(f"__w_{n}") for n, (f, _) in columns.items()]
@@ -173,7 +179,7 @@ class OrderedRuns:
         out = self.df.withColumns({name: F.sum(c).over(running) for c, name in columns.items()})
         if not self.split:
             return out
-        sums = self._per_run(*[F.sum(c).alias(f"__sum_{name}") for c, name in columns.items()])
+        sums = self._per_run(columns, *[F.sum(c).alias(f"__sum_{name}") for c, name in columns.items()])
         before = self._runs_in_order().rowsBetween(Window.unboundedPreceding, -1)
         offsets = sums.select(
             *self.group, *[F.sum(f"__sum_{n}").over(before).alias(f"__off_{n}") for n in columns.values()]
@@ -186,9 +192,10 @@ class OrderedRuns:
     def numbered(self, name: str = "position", total: str | None = None) -> DataFrame:
         """Rows plus their 1-based place in the series and, on request, the series' row count."""
         counted = self.replace(self.df.withColumn("__one", F.lit(1).cast("long")))
-        if total is not None:
-            counted = counted.replace(counted.whole({total: ("sum", "__one")}))
-        return counted.cumulative({"__one": name}).drop("__one")
+        # The ordered window first: its sort then serves the unordered one too.
+        counted = counted.replace(counted.cumulative({"__one": name}))
+        out = counted.df if total is None else counted.whole({total: ("sum", "__one")})
+        return out.drop("__one")
 
 
 def ordered_runs(
@@ -221,4 +228,4 @@ def ordered_runs(
     )
     # Range bounds come from a sample, so the run numbers must be written down before reuse.
     runs = settle(ranged)
-    return OrderedRuns(runs if small is None else runs.unionByName(small), keys, order, split=True)
+    return OrderedRuns(runs if small is None else runs.unionByName(small), keys, order, split=True, stored=runs)

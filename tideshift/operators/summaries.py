@@ -29,8 +29,8 @@ def exact_percentiles(
     long = values.unpivot(by, list(columns), "column_name", "value").where(F.col("value").isNotNull())
     counts = long.groupBy(*by, "column_name", "value").agg(F.count(F.lit(1)).alias("__n"))
     runs = ordered_runs(counts, (*by, "column_name"), ("value",), max_rows)
-    runs = runs.replace(runs.whole({"__total": ("sum", "__n")}))
-    ranked = runs.cumulative({"__n": "__upto"})
+    runs = runs.replace(runs.cumulative({"__n": "__upto"}))
+    ranked = runs.whole({"__total": ("sum", "__n")})
 
     def at(index: Column) -> Column:
         inside = (F.col("__upto") - F.col("__n") <= index) & (index < F.col("__upto"))
