@@ -64,6 +64,18 @@ def test_shape(spark):
     assert "energy_production_ma_1h" not in features.feature_names(table.columns, exclude_target_derived=True)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_dropping_incomplete_rows_equals_dropping_on_the_finished_table(spark, seed):
+    frame = series(n=150, seed=seed, gaps=0.01)
+    frame.loc[60, "price"], frame.loc[90:120, "temperature"] = np.inf, -1e-6
+    df = to_spark(spark, frame)
+    a = features.engineer_features(df)
+    b = features.engineer_features(df, dropna=False).dropna("any")
+    kept = [r[0] for r in a.select("timestamp").orderBy("timestamp").collect()]
+    assert kept == [r[0] for r in b.select("timestamp").orderBy("timestamp").collect()] and 0 < len(kept) < 120
+    assert a.dropna("any").count() == len(kept)
+
+
 def test_one_exchange_for_all_windows(spark):
     df = to_spark(spark, series()).withColumn("series", F.lit(1))
     plan = features.engineer_features(df, keys=["series"], dropna=False)._jdf.queryExecution().executedPlan().toString()

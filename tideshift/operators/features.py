@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,12 +56,14 @@ class Trailing:
     """Column expressions over the trailing rows of a series.
 
     Each distinct window aggregate is evaluated once, under a name in ``base``; the returned
-    expressions refer to those names.
+    expressions refer to those names. ``needs`` collects what must hold for all of them to have a value
+    in a row whose own measures are complete.
     """
 
     def __init__(self, runs: OrderedRuns):
         self.window = runs.window
         self.base: dict[str, Column] = {}
+        self.needs: dict[tuple, Column] = {}
 
     def _shared(self, label: str, c: str, rows: int, expression: Column) -> Column:
         name = f"__{label}_{c}_{rows}"
@@ -77,7 +81,9 @@ class Trailing:
     def std(self, c: str, rows: int) -> Column:
         if rows == 1:
             return F.when(F.col(c).isNotNull(), F.lit(0.0))
-        return self._over(F.stddev_pop, c, rows)
+        std = self._over(F.stddev_pop, c, rows)
+        self.needs["std", c, rows] = ~F.isnan(std)  # an infinite measure makes its windows' deviation NaN
+        return std
 
     def min(self, c: str, rows: int) -> Column:
         return F.col(c) if rows == 1 else self._over(F.min, c, rows)
@@ -86,13 +92,17 @@ class Trailing:
         return F.col(c) if rows == 1 else self._over(F.max, c, rows)
 
     def variation(self, c: str, rows: int) -> Column:
-        return divide(self.std(c, rows), self.mean(c, rows) + EPSILON)
+        std, shifted = self.std(c, rows), self.mean(c, rows) + EPSILON
+        self.needs["variation", c, rows] = (std != 0) | (shifted != 0)
+        return divide(std, shifted)
 
     def spread(self, c: str, rows: int) -> Column:
         return self.max(c, rows) - self.min(c, rows)
 
     def lag(self, c: str, rows: int) -> Column:
-        return self._shared("lag", c, rows, F.lag(c, rows).over(self.window))
+        lag = self._shared("lag", c, rows, F.lag(c, rows).over(self.window))
+        self.needs["lag", c, rows] = lag.isNotNull()
+        return lag
 
     def difference(self, c: str, rows: int) -> Column:
         return F.col(c) - self.lag(c, rows)
@@ -100,7 +110,9 @@ class Trailing:
     def rate(self, c: str, rows: int) -> Column:
         """Relative change against ``rows`` earlier, both sides taken from the filled column."""
         filled = FILLED + c
-        return divide(F.col(filled), self.lag(filled, rows)) - 1
+        now, then = F.col(filled), self.lag(filled, rows)
+        self.needs["rate", c, rows] = (now != 0) | (then != 0)
+        return divide(now, then) - 1
 
 
 def rolling_features(t: Trailing, columns: Sequence[str], windows: Sequence[int] = ROLLING) -> dict[str, Column]:
@@ -147,10 +159,13 @@ def windowed(
     tie: Sequence[str] = (),
     filled: Sequence[str] = (),
     max_rows: int | None = MAX_ROWS,
+    complete: bool = False,
 ) -> DataFrame:
     """Add the columns ``build(Trailing)`` returns; they may look back ``lookback`` rows.
 
     ``filled`` columns are forward-filled without limit first and offered as ``__filled_{name}``.
+    ``complete`` keeps only rows without a missing value. It is tested on the window aggregates: testing
+    the hundred finished columns would repeat their expressions in one method too large to be compiled.
     """
     runs = ordered_runs(df, keys, (ts, *tie), max_rows)
     if filled:
@@ -158,8 +173,10 @@ def windowed(
     runs = runs.with_halo(lookback)
     trailing = Trailing(runs)
     added = build(trailing)
-    based = runs.df.select("*", *[c.alias(n) for n, c in trailing.base.items()])
-    return based.where(~F.col(HALO)).select(*df.columns, *[c.alias(n) for n, c in added.items()])
+    based = runs.df.select("*", *[c.alias(n) for n, c in trailing.base.items()]).where(~F.col(HALO))
+    if complete:
+        based = based.dropna("any", subset=df.columns).where(reduce(and_, trailing.needs.values(), F.lit(True)))
+    return based.select(*df.columns, *[c.alias(n) for n, c in added.items()])
 
 
 def window_columns(
@@ -221,8 +238,7 @@ def engineer_features(
         )
 
     lookback = max([*rolling, *volatility, *RATES, *DIFFERENCES, *LAGS])
-    out = windowed(df, build, lookback, keys, ts, tie, filled=columns, max_rows=max_rows)
-    return drop_incomplete(out) if dropna else out
+    return windowed(df, build, lookback, keys, ts, tie, filled=columns, max_rows=max_rows, complete=dropna)
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -27,6 +27,9 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # The JVM interprets methods above 8000 bytes of code. Wide feature tables would hit that, so such
+        # stages run with split projections instead of one fused method.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)
