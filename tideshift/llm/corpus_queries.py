@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideshift.llm import bpe
+from tideshift.llm import bpe, simhash
 from tideshift.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -24,5 +24,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op4_bpe": op4_bpe}
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+QUERIES = {"op4_bpe": op4_bpe, "op6_simhash": op6_simhash}
 ORACLE: dict[str, str] = {}
