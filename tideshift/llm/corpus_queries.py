@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideshift.llm import bpe, simhash
+from tideshift.llm import bpe, langid, mixing, perplexity, pii, simhash
 from tideshift.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -29,5 +29,34 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {"op4_bpe": op4_bpe, "op6_simhash": op6_simhash}
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, bits per character and verdict of every document."""
+    return perplexity.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", *perplexity.STATS, "base_failed", "kept", "language", F.round("bits", 6).alias("bits_per_char"),
+        F.round("lower", 6).alias("lower"), F.round("upper", 6).alias("upper"),
+    )
+
+
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the labelled ones that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(langid.learnable(docs))
+    return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+PII_KEY = "corpus release 1"  # in production from the secret store of the deployment
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with pseudonyms for personal data, and how many of each kind were replaced."""
+    done = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    return done.select("doc_id", "text", F.size("found").cast("long").alias("n_found"), *pii.counts_by_kind(F.col("found")))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot, block and place of every document in a mix whose weights are square roots of the sources' sizes."""
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+QUERIES = {"op5_mixing": op5_mixing, "op3_pii": op3_pii, "op1_quality": op1_quality, "op9_langid": op9_langid, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash}
 ORACLE: dict[str, str] = {}
