@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideshift.llm import bpe, langid, mixing, perplexity, pii, simhash
+from tideshift.llm import bpe, langid, mixing, perplexity, pii, simhash, urlfilter
 from tideshift.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -58,5 +58,38 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
-QUERIES = {"op5_mixing": op5_mixing, "op3_pii": op3_pii, "op1_quality": op1_quality, "op9_langid": op9_langid, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash}
-ORACLE: dict[str, str] = {}
+RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+BLOCKED_LABELS = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+
+
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page; the list holds the domains that start with a blocked label."""
+    pages = table(spark, sf_dir, "pages")
+    return urlfilter.judge(pages, RULES, urlfilter.hosts_with_labels(pages, BLOCKED_LABELS))
+
+
+OP2_SQL = """
+WITH parts AS (
+    SELECT page_id,
+           translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+    FROM pages
+), rules(rule, domain, start, what) AS (
+    VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+           ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')
+), fits AS (
+    SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(what, length(rule)) AS what
+    FROM parts JOIN rules ON (host = domain OR ends_with(host, '.' || domain)) AND starts_with(path, start)
+    GROUP BY page_id
+), listed AS (
+    SELECT *, regexp_matches(host, '(^|[.])(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)[.].') AS listed
+    FROM parts
+)
+SELECT l.page_id, host, path, f.rule, listed, coalesce(f.what, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict
+FROM listed l LEFT JOIN fits f ON l.page_id = f.page_id
+"""
+
+
+QUERIES = {"op2_urls": op2_urls, "op5_mixing": op5_mixing, "op3_pii": op3_pii, "op1_quality": op1_quality, "op9_langid": op9_langid, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash}
+ORACLE: dict[str, str] = {"op2_urls": OP2_SQL}
