@@ -128,10 +128,10 @@ def test_columns(spark):
 def test_documents_keep_no_value(spark):
     sf = "/root/testdata/sf0.01"
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-    values = r"\+1 \(\d{3}\) \d{3}-\d{4}|(?<![A-Za-z0-9])4\d{15}(?![A-Za-z0-9])|(?<![\d.])\d+\.\d+\.\d+\.\d+|[\w.]+@[\w.]+\w|AKIA\w{16}|(?<=token = \")\w{40}|(?<=password=)\w{18}"
+    values = r"\+1 \(\d{3}\) \d{3}-\d{4}|(?<![A-Za-z0-9])\d{16}(?![A-Za-z0-9])|(?<![\d.])\d+\.\d+\.\d+\.\d+|[\w.]+@[\w.]+\w|AKIA\w{16}|(?<=token = \")\w{40}|(?<=password=)\w{18}"
     seen = 0
     for r in queries()["op3_pii"](spark, sf).collect():
-        before = re.findall(values, docs[r.doc_id])
+        before = [v for v in re.findall(values, docs[r.doc_id]) if not re.fullmatch(r"\d+", v) or luhn(v)]
         seen += len(before)
         assert r.n_found == len(before)
         assert not any(v in r.text for v in before)
