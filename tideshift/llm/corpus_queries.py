@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideshift.llm import bpe, langid, mixing, perplexity, pii, simhash, urlfilter
+from tideshift.llm import bpe, langid, licenses, mixing, perplexity, pii, simhash, urlfilter
 from tideshift.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -91,5 +91,10 @@ FROM listed l LEFT JOIN fits f ON l.page_id = f.page_id
 """
 
 
-QUERIES = {"op2_urls": op2_urls, "op5_mixing": op5_mixing, "op3_pii": op3_pii, "op1_quality": op1_quality, "op9_langid": op9_langid, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash}
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, places and license labels of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op8_licenses": op8_licenses, "op2_urls": op2_urls, "op5_mixing": op5_mixing, "op3_pii": op3_pii, "op1_quality": op1_quality, "op9_langid": op9_langid, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash}
 ORACLE: dict[str, str] = {"op2_urls": OP2_SQL}
