@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideshift.llm import bpe, langid, licenses, mixing, perplexity, pii, simhash, urlfilter
+from tideshift.llm import bpe, langid, licenses, mixing, perplexity, pii, repeats, simhash, urlfilter
 from tideshift.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -96,5 +96,11 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op8_licenses": op8_licenses, "op2_urls": op2_urls, "op5_mixing": op5_mixing, "op3_pii": op3_pii, "op1_quality": op1_quality, "op9_langid": op9_langid, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash}
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and runs removed from every document as repeated, and a digest of what remains."""
+    done = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {"op10_repeats": op10_repeats, "op8_licenses": op8_licenses, "op2_urls": op2_urls, "op5_mixing": op5_mixing, "op3_pii": op3_pii, "op1_quality": op1_quality, "op9_langid": op9_langid, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash}
 ORACLE: dict[str, str] = {"op2_urls": OP2_SQL}
