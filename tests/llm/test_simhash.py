@@ -99,3 +99,19 @@ def test_links_connect_like_all_pairs(spark, group_rows):
     assert [root(i) for i in range(len(values))] == classes(values)
     if group_rows > len(values):  # four forests, not all pairs
         assert len(edges) < 4 * len(values)
+
+
+def test_one_row_of_each_component_stays(spark):
+    base = "a b c d e f g h i j k l m n o p q r s t u v w x y z " * 20
+    rows = [(i, base + f"tail{i}", "x") for i in range(10, 20)] + [(3, "other", "x"), (3, "other", "x"), (4, "other", "y"), (3, base + "tail12", "z")]
+    rows += [(None, "alone", None), (None, "alone", None), (None, "other", None), (8, None, None), (9, "", None)]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, kind string, fp int").repartition(3)
+    got = simhash.keep_one(df)
+    assert got.columns == df.columns
+    label = classes([fingerprint(t) for _, t, _ in rows])
+    want = {}
+    for row, c in zip(rows, label):
+        want.setdefault(c, []).append((row[0] is None, row[0] or 0))
+    kept = sorted((r.doc_id is None, r.doc_id or 0) for r in got.collect())
+    assert kept == sorted(min(m) for m in want.values())
+    assert simhash.keep_one(df.limit(0)).count() == 0

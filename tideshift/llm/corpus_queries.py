@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideshift.llm import bpe, langid, licenses, mixing, perplexity, pii, repeats, simhash, urlfilter
+from tideshift.llm import bpe, langid, licenses, mixing, perplexity, pii, repeats, rotated_codes, simhash, urlfilter
 from tideshift.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -102,5 +102,11 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op10_repeats": op10_repeats, "op8_licenses": op8_licenses, "op2_urls": op2_urls, "op5_mixing": op5_mixing, "op3_pii": op3_pii, "op1_quality": op1_quality, "op9_langid": op9_langid, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash}
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows by inner product of every row whose id is divisible by 20."""
+    rows = table(spark, sf_dir, "embeddings")
+    return rotated_codes.nearest(rows, F.col("vec_id") % 20 == 0)
+
+
+QUERIES = {"op7_neighbours": op7_neighbours, "op10_repeats": op10_repeats, "op8_licenses": op8_licenses, "op2_urls": op2_urls, "op5_mixing": op5_mixing, "op3_pii": op3_pii, "op1_quality": op1_quality, "op9_langid": op9_langid, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash}
 ORACLE: dict[str, str] = {"op2_urls": OP2_SQL}

@@ -124,6 +124,13 @@ def _sortable(df: DataFrame, column: str) -> bool:
     return df.schema[column].dataType.typeName() not in ("map", "variant")
 
 
-def in_order(mixed: DataFrame, partitions: int) -> DataFrame:
-    """Rows laid out by ``mix_position``: partition after partition, and in order within each."""
-    return mixed.repartitionByRange(partitions, "mix_position").sortWithinPartitions("mix_position")
+def in_order(mixed: DataFrame, shares: DataFrame, partitions: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Rows laid out by ``mix_position``: partition after partition, and in order within each.
+
+    ``shares`` (from ``source_shares``) give the last slot, so no row is read to find the borders of the partitions.
+    """
+    blocks = F.ceil(F.col("rows") / block_rows)
+    last = shares.agg(F.max((F.floor((blocks - 1) / F.col("share")) + 1) * F.col("period"))).collect()[0][0] or 1
+    width = -(-int(last) * block_rows // partitions)
+    part = F.least(F.floor(F.col("mix_position") / width), F.lit(partitions - 1)).cast("int")
+    return mixed.repartitionById(partitions, part).sortWithinPartitions("mix_position")

@@ -75,8 +75,8 @@ def shingle_hashes(text: bytes, width: int, seed: int) -> list[int]:
 def fingerprints(
     df: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 3, seed: int = 42
 ) -> DataFrame:
-    """``doc`` (the id) and ``fp`` (the fingerprint as a signed 64-bit number) of every row."""
-    schema = T.StructType([T.StructField("doc", df.schema[id_col].dataType), T.StructField("fp", T.LongType())])
+    """``doc`` (the id), ``digest`` (of the text) and ``fp`` (the fingerprint as a signed 64-bit number) of every row."""
+    schema = T.StructType([T.StructField("doc", df.schema[id_col].dataType), T.StructField("digest", T.LongType()), T.StructField("fp", T.LongType())])
 
     def work():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -89,11 +89,14 @@ def fingerprints(
                 hashes.append(np.array(made, np.uint64))
             joined = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
             found = fingerprint_rows(np.array(counts, np.int64), joined)
-            return pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(found.view(np.int64))], names=["doc", "fp"])
+            return pa.RecordBatch.from_arrays(
+                [batch.column("doc"), batch.column("digest"), pa.array(found.view(np.int64))], names=schema.names
+            )
 
         return step
 
-    return map_texts(df.select(F.col(id_col).alias("doc"), F.col(text).alias("text")), work, schema)
+    rows = df.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("digest"), F.col(text).alias("text"))
+    return map_texts(rows, work, schema)
 
 
 def _node_pairs(fps: DataFrame, budget: int) -> DataFrame:
@@ -300,6 +303,13 @@ def links(fps: DataFrame, budget: int = 3, group_rows: int = GROUP_ROWS) -> Data
     return dealt.mapInArrow(run, schema)
 
 
+def _classes(stored: DataFrame, budget: int, group_rows: int) -> DataFrame:
+    """``fp`` and the ``root`` of its component, for every fingerprint."""
+    distinct = settle(stored.select("fp").distinct())
+    found = components(settle(links(distinct, budget, group_rows)))
+    return settle(distinct.join(found, distinct["fp"] == found["vertex"], "left").select("fp", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -311,17 +321,42 @@ def near_duplicates(
 ) -> DataFrame:
     """Every row's id (named as ``id_col``), its ``fingerprint`` (16 hex digits), ``fp`` and ``component_id``."""
     stored = settle(fingerprints(df, id_col, text, width, seed))
-    classes = settle(stored.groupBy("fp").agg(F.min("doc").alias("least")))
-    found = components(settle(links(classes, budget, group_rows)))
-    rooted = classes.join(found, classes["fp"] == found["vertex"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    members = settle(rooted.join(named, "root").select("fp", "component_id"))
+    roots = _classes(stored, budget, group_rows)
+    least = stored.groupBy("fp").agg(F.min("doc").alias("least"))
+    named = roots.join(least, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
+    members = settle(roots.join(named, "root").select("fp", "component_id"))
     return stored.join(members, "fp").select(
         F.col("doc").alias(id_col), hex_digits(F.col("fp")).alias("fingerprint"), "fp", "component_id"
     )
 
 
+def keep_one(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text: str = "text",
+    width: int = 3,
+    budget: int = 3,
+    seed: int = 42,
+    group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """``df`` with one row of each component: that of the smallest id, rows without an id last.
+
+    Of rows that share this id, one with the smallest digest of its text stays.
+    """
+    stored = settle(fingerprints(df, id_col, text, width, seed))
+    order = F.struct(F.col("doc").isNull().alias("none"), "doc", "digest")
+    best = stored.groupBy("fp").agg(F.min(order).alias("best"))
+    kept = _classes(stored, budget, group_rows).join(best, "fp").groupBy("root").agg(F.min("best").alias("best"))
+    kept = kept.select(_id_key(F.col("best.doc")).alias("__id"), F.col("best.digest").alias("__digest"))
+    rows = df.withColumn("__id", _id_key(F.col(id_col))).withColumn("__digest", F.xxhash64(text))
+    one = rows.join(settle(kept), ["__id", "__digest"], "left_semi").dropDuplicates(["__id", "__digest"])
+    return one.drop("__id", "__digest")
+
+
+def _id_key(doc: Column) -> Column:
+    """An id as text, with one for missing ids, so that it can be joined on."""
+    return F.coalesce(doc.cast("string"), F.lit("missing"))
+
+
 def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
