@@ -10,7 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-EXACT_UP_TO = 10_000
 TERMS = 100
 
 
@@ -57,19 +56,17 @@ def exact_p_value(d: float, n: int, m: int) -> float:
 
 @F.pandas_udf(T.DoubleType())
 def exact_p(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
-    """Exact p-value per row, missing above the size where the limit is used. One row per feature."""
+    """Exact p-value per row, for samples of any size. One row per feature."""
+    sizes = zip(d, n.fillna(0), m.fillna(0))
     return pd.Series(
-        [
-            exact_p_value(x, int(a), int(b)) if x == x and 0 < min(a, b) and max(a, b) <= EXACT_UP_TO else None
-            for x, a, b in zip(d, n.fillna(0), m.fillna(0))
-        ],
-        dtype="float64",
+        [exact_p_value(x, int(a), int(b)) if x == x and min(a, b) > 0 else None for x, a, b in sizes], dtype="float64"
     )
 
 
-def ks_p_value(d: Column, n: Column, m: Column, method: str = "auto") -> Column:
-    """``auto`` is exact up to 10,000 values per side and asymptotic beyond."""
+def ks_p_value(d: Column, n: Column, m: Column, method: str = "asymptotic") -> Column:
+    """By the limit series (``asymptotic``, plain SQL functions) or by counting (``exact``, steps in the larger size)."""
     if method == "asymptotic":
         return asymptotic_p(d, n, m)
-    exact = exact_p(d, n, m)
-    return exact if method == "exact" else F.coalesce(exact, asymptotic_p(d, n, m))
+    if method == "exact":
+        return exact_p(d, n, m)
+    raise ValueError(f"unknown method '{method}'")

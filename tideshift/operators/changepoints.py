@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideshift.operators.regimes import label_segments, one_hot, regime_name
-from tideshift.operators.runs import MAX_ROWS, ordered_runs
+from tideshift.operators.runs import MAX_ROWS
 from tideshift.session import settle, shuffle_partitions
 
 # Defaults of the search and the bounds of the scaled squared distances.
@@ -19,64 +19,109 @@ PENALTY = 10.0
 MIN_SIZE = 24
 STEP = 5
 DISTANCE_BOUNDS = (1e-2, 1e2)
-BLOCK_ROWS = 2048
-
-
-def kernel_sums(x: np.ndarray) -> np.ndarray:
-    """Summed-area table of the kernel matrix; the bandwidth is the median squared distance."""
-    n = len(x)
-    d = (x[:, None] - x[None, :]) ** 2
-    middle = 0.0
-    if n > 1:
-        # In the whole matrix every pair occurs twice, after the n zeros of the diagonal.
-        pairs = n * (n - 1) // 2
-        at = [n + 2 * ((pairs - 1) // 2), n + 2 * (pairs // 2)]
-        ordered = np.partition(d, at, axis=None)
-        middle = (ordered[at[0]] + ordered[at[1]]) / 2
-    if middle:
-        d /= middle
-    np.clip(d, *DISTANCE_BOUNDS, out=d)
-    k = np.exp(np.negative(d, out=d), out=d)
-    np.fill_diagonal(k, 1.0)
-    table = np.zeros((n + 1, n + 1))
-    np.cumsum(np.cumsum(k, axis=0, out=k), axis=1, out=table[1:, 1:])
-    return table
-
-
-def segment_cost(table: np.ndarray, starts, end: int):
-    """Kernel scatter of ``[start, end)``, for one start or many."""
-    starts = np.asarray(starts)
-    inner = table[end, end] - 2 * table[starts, end] + table[starts, starts]
-    size = end - starts
-    return size - inner / size
+QUANTILES = 256  # steps of the quantiles that stand for a series' values when its bandwidth is taken
+ACCURACY = 10_000
 
 
-def pelt(x: np.ndarray, penalty: float = PENALTY, min_size: int = MIN_SIZE, step: int = STEP) -> list[int]:
-    """Ends of the cheapest segmentation; each segment costs its scatter plus the penalty.
+def bandwidth(quantiles: np.ndarray) -> float:
+    """The median squared distance between the quantiles of a series; 1 if they are all equal."""
+    d = (quantiles[:, None] - quantiles[None, :]) ** 2
+    middle = float(np.median(d[np.triu_indices(len(quantiles), 1)]))
+    return middle if middle > 0 else 1.0
+
+
+class Search:
+    """The cheapest segmentation of a series that arrives piece by piece.
 
-    Ends lie on a grid of ``step``. A start is dropped once it cannot win any more.
+    A segment costs its scatter in the kernel's feature space plus the penalty, and ends lie on a grid of ``step``. A start
+    is dropped once it cannot win any more, and so are the values before the oldest start left: what is kept is the
+    values and starts that can still matter, and one number for each end for the way back. Nothing depends on
+    how the series was cut.
     """
-    n = len(x)
-    if n < 2 * min_size:
-        return [n]
-    table = kernel_sums(np.asarray(x, dtype=float))
-    ends = [*range(-(-min_size // step) * step, n, step), n]
-    best, previous = {0: 0.0}, {}
-    starts: list[int] = []
-    for end in ends:
-        newest = (end - min_size) // step * step
-        if newest in best:
-            starts.append(newest)
-        s = np.array(starts)
-        costs = np.array([best[i] for i in starts]) + segment_cost(table, s, end) + penalty
-        pick = int(costs.argmin())
-        best[end], previous[end] = float(costs[pick]), starts[pick]
-        starts = list(s[costs <= best[end] + penalty])
-    found, at = [], n
-    while at > 0:
-        found.append(int(at))
-        at = previous[at]
-    return found[::-1]
+
+    def __init__(self, width: float, penalty: float = PENALTY, min_size: int = MIN_SIZE, step: int = STEP):
+        self.width, self.penalty, self.min_size, self.step = width, penalty, min_size, step
+        self.n = 0
+        self.oldest = 0  # place of the first value kept
+        self.values = np.zeros(256)
+        self.inner = np.zeros(64)  # kernel sums of [start, n) for the grid places from the oldest on
+        self.best = [0.0]  # by grid place; infinite where no segment can end
+        self.previous = [0]
+        self.starts = np.zeros(0, np.int64)
+
+    def feed(self, x: np.ndarray) -> None:
+        for value in x.tolist():
+            self._add(value)
+            if self.n % self.step == 0:
+                self._end(self.n)
+
+    def _add(self, value: float) -> None:
+        kept = self.n - self.oldest
+        if kept == len(self.values):
+            self.values = np.concatenate([self.values, np.zeros(kept)])
+        self.values[kept] = value
+        grid = self.n // self.step - self.oldest // self.step + 1  # grid places up to here
+        if grid > len(self.inner):
+            self.inner = np.concatenate([self.inner, np.zeros(len(self.inner))])
+        d = (self.values[:kept] - value) ** 2 / self.width
+        k = np.exp(-np.clip(d, *DISTANCE_BOUNDS))
+        upto = np.concatenate([np.cumsum(k[::-1])[::-1], [0.0]])
+        # The oldest value lies on the grid, and so every step-th one from it.
+        places = upto[:: self.step]
+        self.inner[: len(places)] += 2 * places + 1.0
+        self.n += 1
+        if self.n % self.step == 0 and grid < len(self.inner):
+            self.inner[grid] = 0.0
+
+    def _end(self, end: int, last: bool = False) -> float:
+        newest = (end - self.min_size) // self.step * self.step
+        if newest >= 0 and self.best[newest // self.step] < np.inf and (not len(self.starts) or newest > self.starts[-1]):
+            self.starts = np.append(self.starts, newest)
+        cost, previous = np.inf, 0
+        if end >= self.min_size and len(self.starts):
+            size = end - self.starts
+            inner = self.inner[(self.starts - self.oldest) // self.step]
+            costs = np.array([self.best[s // self.step] for s in self.starts.tolist()]) + size - inner / size + self.penalty
+            pick = int(costs.argmin())
+            cost, previous = float(costs[pick]), int(self.starts[pick])
+            if not last:
+                self.starts = self.starts[costs <= cost + self.penalty]
+        if last:
+            return previous
+        self.best.append(cost)
+        self.previous.append(previous)
+        self._forget(min([max(newest + self.step, 0), *self.starts[:1].tolist()]))
+        return previous
+
+    def _forget(self, oldest: int) -> None:
+        """Drop what lies before the oldest start, once that is the larger part of what is kept."""
+        gone = oldest - self.oldest
+        if gone > 64 and 2 * gone > self.n - self.oldest:
+            self.values = self.values[gone:].copy()
+            self.inner = self.inner[gone // self.step :].copy()
+            self.oldest = oldest
+
+    def ends(self) -> list[int]:
+        """Ends of the segments of all that arrived, the last one being its length."""
+        if self.n < 2 * self.min_size:
+            return [self.n] if self.n else []
+        at = self.previous[self.n // self.step] if self.n % self.step == 0 else int(self._end(self.n, last=True))
+        found = [self.n]
+        while at > 0:
+            found.append(at)
+            at = self.previous[at // self.step]
+        return found[::-1]
+
+
+def pelt(x: np.ndarray, penalty: float = PENALTY, min_size: int = MIN_SIZE, step: int = STEP) -> list[int]:
+    """Ends of the cheapest segmentation of one array."""
+    x = np.asarray(x, dtype=float)
+    if not len(x):
+        return []
+    at = np.ceil(np.arange(QUANTILES + 1) / QUANTILES * len(x)).astype(int) - 1
+    search = Search(bandwidth(np.sort(x)[np.maximum(at, 0)]), penalty, min_size, step)
+    search.feed(x)
+    return search.ends()
 
 
 def change_points(
@@ -88,77 +133,59 @@ def change_points(
     penalty: float = PENALTY,
     min_size: int = MIN_SIZE,
     step: int = STEP,
-    block_rows: int = BLOCK_ROWS,
-    max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """Exclusive end positions of the segments of each series, the last one being its length.
 
-    The search needs all pairs of a series' values, so one task takes at most two blocks of
-    ``block_rows``. A series within one block is solved exactly. A longer one is searched block by block,
-    and each border between blocks is kept only if joining the segments next to it would cost more than
-    the penalty; this approximates the search over the whole series.
+    One search serves every length: the bandwidth of a series comes from its quantiles (a sketch of bounded size, exact
+    up to ``ACCURACY`` rows), and its rows then stream through one task in order, which keeps only what can still matter.
+    Time grows with the length times the reach of a segment; a series without any change is quadratic in time.
+    A missing value counts as the last known one, or 0 before the first.
     """
     keys = list(keys)
     place = (ts, *tie)
-    rows = df.select(*keys, *place, F.col(signal).cast("double").alias("__x"))
-    numbered = ordered_runs(rows, keys, place, max_rows).numbered("__n", total="__rows")
-    # The last block takes the remainder, so no block is too short to search.
-    blocks = F.greatest(F.floor(F.col("__rows") / block_rows), F.lit(1))
-    placed = numbered.select(
-        *keys,
-        "__n",
-        "__x",
-        F.least(F.floor((F.col("__n") - 1) / block_rows), blocks - 1).alias("__block"),
-        blocks.alias("__blocks"),
-    )
-    key_fields = [placed.schema[k] for k in keys]
-    schema = T.StructType(
-        [
-            *key_fields,
-            T.StructField("segment_end", T.LongType()),
-            T.StructField("seam", T.LongType()),
-            T.StructField("side", T.IntegerType()),
-            T.StructField("values", T.ArrayType(T.DoubleType())),
-        ]
+    rows = df.select(*keys, *place, F.nanvl(F.col(signal).cast("double"), F.lit(None)).alias("__x"))
+    shares = [i / QUANTILES for i in range(QUANTILES + 1)]
+    known = rows.select(*keys, F.coalesce("__x", F.lit(0.0)).alias("__x"))
+    heads = known.groupBy(*keys).agg(F.percentile_approx("__x", shares, ACCURACY).alias("__q"))
+    # The quantiles of a series come first among its rows.
+    stream = rows.withColumn("__body", F.lit(1)).unionByName(
+        heads.withColumn("__body", F.lit(0)), allowMissingColumns=True
     )
-
-    def search(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("__n")
-        x, first = group["__x"].to_numpy(), int(group["__n"].iloc[0]) - 1
-        block, count = int(group["__block"].iloc[0]), int(group["__blocks"].iloc[0])
-        ends = pelt(x, penalty, min_size, step)
-        last = block == count - 1
-        out = [(first + e, None, None, None) for e in (ends if last else ends[:-1])]
-        if block > 0:
-            out.append((first, block, 1, x[: ends[0]]))
-        if not last:
-            out.append((first + len(x), block + 1, 0, x[ends[-2] if len(ends) > 1 else 0 :]))
-        made = pd.DataFrame(out, columns=["segment_end", "seam", "side", "values"])
-        for k in reversed(keys):
-            made.insert(0, k, group[k].iloc[0])
-        return made
-
-    # Few bytes but much work per block: a fixed number of partitions keeps small inputs spread out.
     parts = shuffle_partitions(df.sparkSession)
-    found = placed.repartition(parts, *keys, "__block").groupBy(*keys, "__block").applyInPandas(search, schema)
-    longest = numbered.agg(F.max("__rows")).collect()[0][0] or 0
-    if longest < 2 * block_rows:
-        return found.select(*keys, "segment_end")
-    found = settle(found)  # read twice below, and expensive
-
-    def keep_border(pair: pd.DataFrame) -> pd.DataFrame:
-        pair = pair.sort_values("side")
-        left, right = (np.asarray(v) for v in pair["values"])
-        table, cut, n = kernel_sums(np.concatenate([left, right])), len(left), len(left) + len(right)
-        gain = segment_cost(table, 0, n) - segment_cost(table, 0, cut) - segment_cost(table, cut, n)
-        return pair[[*keys, "segment_end"]].head(1 if gain > penalty else 0)
-
-    kept = (
-        found.where(F.col("seam").isNotNull())
-        .groupBy(*keys, "seam")
-        .applyInPandas(keep_border, T.StructType([*key_fields, T.StructField("segment_end", T.LongType())]))
-    )
-    return found.where(F.col("seam").isNull()).select(*keys, "segment_end").unionByName(kept)
+    dealt = stream.repartition(parts, *keys) if keys else stream.repartition(1)
+    dealt = dealt.sortWithinPartitions(*keys, "__body", *place).select(*keys, "__body", "__x", "__q")
+    schema = T.StructType([*[rows.schema[k] for k in keys], T.StructField("segment_end", T.LongType())])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        search, own, last = None, None, 0.0
+
+        def result() -> pd.DataFrame:
+            made = pd.DataFrame({"segment_end": search.ends()})
+            for k, v in reversed(list(zip(keys, own))):
+                made.insert(0, k, v)
+            return made.astype({"segment_end": "int64"})
+
+        for frame in frames:
+            heads = np.flatnonzero(frame["__body"].to_numpy() == 0)
+            cuts = [0, *heads.tolist(), len(frame)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                part = frame.iloc[a:b]
+                if part["__body"].iloc[0] == 0:
+                    if search is not None:
+                        yield result()
+                    own = [part[k].iloc[0] for k in keys]
+                    search, last = Search(bandwidth(np.asarray(part["__q"].iloc[0], float)), penalty, min_size, step), 0.0
+                    part = part.iloc[1:]
+                if len(part):
+                    x = part["__x"].ffill().fillna(last).to_numpy(float)
+                    search.feed(x)
+                    last = float(x[-1])
+        if search is not None:
+            yield result()
+
+    return dealt.mapInPandas(run, schema)
 
 
 def attach_change_point_regimes(
@@ -175,7 +202,7 @@ def attach_change_point_regimes(
     """Rows plus regime, certain probabilities and name. Stored ``breakpoints`` are used if given."""
     ends = breakpoints
     if ends is None:
-        ends = settle(change_points(df, signal, keys, ts, tie, max_rows=max_rows, **search))
+        ends = settle(change_points(df, signal, keys, ts, tie, **search))
     labelled = label_segments(df, ends, signal, n_regimes, keys, (ts, *tie), max_rows)
     return one_hot(labelled.drop("position", "segment"), "regime_id", n_regimes).withColumn(
         "regime_name", regime_name(F.col("regime_id"))

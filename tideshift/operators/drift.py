@@ -160,9 +160,10 @@ def _distances(long: DataFrame, group: list[str], bins: int, max_rows: int | Non
 
 
 def severity(flags: Sequence[Column]) -> Column:
-    """``high`` if two or more tests fail, ``medium`` for one, else ``low``; an unknown test passes."""
+    """``high`` if two or more tests fail, ``medium`` for one, else ``low``; missing if a test without a verdict decides."""
     failed = reduce(lambda a, b: a + b, [F.coalesce(f, F.lit(False)).cast("int") for f in flags])
-    return F.when(failed >= 2, "high").when(failed == 1, "medium").otherwise("low")
+    known = reduce(lambda a, b: a & b, [f.isNotNull() for f in flags])
+    return F.when(failed >= 2, "high").when(known, F.when(failed == 1, "medium").otherwise("low"))
 
 
 def feature_drift(
@@ -171,7 +172,7 @@ def feature_drift(
     columns: Sequence[str] = WATCHED,
     by: Sequence[str] = (),
     thresholds: Thresholds = Thresholds(),
-    p_value: str = "auto",
+    p_value: str = "asymptotic",
     max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
     """One row per (series and) feature with all tests, their verdicts and the severity.
@@ -263,7 +264,7 @@ def drift_report(
     regime: str | None = "regime_id",
     by: Sequence[str] = (),
     thresholds: Thresholds = Thresholds(),
-    p_value: str = "auto",
+    p_value: str = "asymptotic",
     checked_at: datetime | None = None,
     max_rows: int | None = MAX_ROWS,
 ) -> DataFrame:
@@ -293,6 +294,31 @@ def refresh_reference(report: DataFrame) -> bool:
     return report.where(F.col("drift_detected")).isEmpty()
 
 
+def updated_reference(
+    reference: DataFrame,
+    current: DataFrame,
+    report: DataFrame,
+    order: Sequence[str],
+    by: Sequence[str] = (),
+    rows: int = REFERENCE_ROWS,
+    minimum: int = CURRENT_ROWS,
+) -> DataFrame:
+    """The reference for the next check: the newest current rows of each series whose check was clean, else the old rows.
+
+    A series with fewer than ``minimum`` current rows, or without a report, keeps its reference.
+    """
+    by = list(by)
+    if not by:
+        clean = refresh_reference(report) and current.limit(minimum).count() >= minimum
+        return recent_rows(current, rows, order) if clean else reference
+    drifted = report.groupBy(*by).agg(F.coalesce(F.bool_or("drift_detected"), F.lit(False)).alias("__bad"))
+    sizes = current.groupBy(*by).agg((F.count(F.lit(1)) >= minimum).alias("__enough"))
+    clean = join_keys(drifted.where(~F.col("__bad")), sizes.where("__enough"), by, "inner").select(*by, F.lit(True).alias("__clean"))
+    new = join_keys(recent_rows(current, rows, order, by), clean, by, "left").where("__clean").drop("__clean")
+    old = join_keys(reference, clean, by, "left").where("__clean is null").drop("__clean")
+    return new.unionByName(old.select(*new.columns))
+
+
 def recent_alerts(alerts: DataFrame, hours: int = 24, now: datetime | None = None, ts: str = "timestamp") -> DataFrame:
     """Alerts strictly younger than ``hours``."""
     at = (F.lit(now) if now else F.current_timestamp()).cast("timestamp_ntz")

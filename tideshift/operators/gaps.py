@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tideshift.functions.values import micros
 from tideshift.operators.features import MEASURES
-from tideshift.operators.runs import HALO, MAX_ROWS, ordered_runs
+from tideshift.operators.runs import HALO, MAX_ROWS, join_keys, ordered_runs
 from tideshift.session import shuffle_partitions
 
 STEPS_PER_ROW = 4096
@@ -58,5 +58,8 @@ def spine(df: DataFrame, step_seconds: int = 3600, keys: Sequence[str] = (), ts:
 
 
 def on_spine(df: DataFrame, step_seconds: int = 3600, keys: Sequence[str] = (), ts: str = "timestamp") -> DataFrame:
-    """Rows put on the spine; steps without a row get missing measures."""
-    return spine(df, step_seconds, keys, ts).join(df, [*keys, ts], "left")
+    """Rows put on the spine; steps without a row get missing measures.
+
+    A missing key is a series of its own. Rows between the steps have no place on the spine and are left out.
+    """
+    return join_keys(spine(df, step_seconds, keys, ts), df, [*keys, ts], "left")

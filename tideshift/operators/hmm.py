@@ -31,6 +31,7 @@ SEED = 42
 VARIANCE_PRIOR = 1e-2
 VARIANCE_FLOOR = 1e-3
 
+SMALLEST = 1e-200  # scaled weights below this are computed in logarithms
 BLOCK_ROWS = 4096
 FAN = 4096
 BATCH_VALUES = 4_000_000
@@ -125,8 +126,21 @@ def _log_density(x: np.ndarray, model: HmmModel) -> np.ndarray:
     return out
 
 
+def _lse(x: np.ndarray, axis: int) -> np.ndarray:
+    """Logarithm of the sum of exponentials along an axis; all of zero weight stays at minus infinity."""
+    top = x.max(axis=axis, keepdims=True)
+    top = np.where(np.isfinite(top), top, 0.0)
+    with np.errstate(divide="ignore"):
+        return np.log(np.exp(x - top).sum(axis=axis)) + np.squeeze(top, axis)
+
+
+def _logs(x: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.log(x)
+
+
 def _heads(frame: pd.DataFrame, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """What enters each block, and which blocks start their series."""
+    """Log weights that enter each block, and which blocks start their series."""
     starts = (frame["block"] == 0).to_numpy()
     heads = np.tile(first, (len(frame), 1))
     if "head" in frame:
@@ -165,7 +179,8 @@ def _backward(b: np.ndarray, n: np.ndarray, tails: np.ndarray, a: np.ndarray) ->
 
 
 def _tails(frame: pd.DataFrame, k: int) -> np.ndarray:
-    tails = np.ones((len(frame), k))
+    """Log weights of what follows each block."""
+    tails = np.zeros((len(frame), k))
     if "tail" in frame:
         for i, t in enumerate(frame["tail"]):
             if t is not None:
@@ -173,36 +188,97 @@ def _tails(frame: pd.DataFrame, k: int) -> np.ndarray:
     return tails
 
 
+def _unit(log_weights: np.ndarray) -> np.ndarray:
+    return np.exp(log_weights - _lse(log_weights, -1)[..., None])
+
+
+def _weak(weights: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Lanes in which a scaled weight came near the end of the number range, or left it."""
+    return ~(np.where(inside, weights.min(-1), 1.0).min(1) > SMALLEST)
+
+
+def _in_logs(density, n, heads, starts, tails, log_a):
+    """Forward and backward log weights per row, and the log likelihood of each block; slower, and never out of range."""
+    steps = density.shape[1]
+    la, lb = np.empty_like(density), np.empty_like(density)
+    heads = heads - _lse(heads, -1)[:, None]
+    la[:, 0] = np.where(starts[:, None], heads, _lse(heads[:, :, None] + log_a, 1)) + density[:, 0]
+    for s in range(1, steps):
+        la[:, s] = _lse(la[:, s - 1, :, None] + log_a, 1) + density[:, s]
+    now = tails
+    for s in range(steps - 1, -1, -1):
+        if s + 1 < steps:
+            inner = _lse(log_a[None] + (density[:, s + 1] + now)[:, None, :], 2)
+            now = np.where((s + 1 < n)[:, None], inner, tails)
+        lb[:, s] = now
+    return la, lb, _lse(la[np.arange(len(n)), n - 1], -1)
+
+
+def _log_likelihoods(density, n, heads, starts, a) -> np.ndarray:
+    alpha, log_like, _ = _forward(density, n, _unit(heads), starts, a)
+    weak = _weak(alpha, np.arange(density.shape[1]) < n[:, None])
+    if weak.any():
+        none = np.zeros((int(weak.sum()), a.shape[0]))
+        log_like[weak] = _in_logs(density[weak], n[weak], heads[weak], starts[weak], none, _logs(a))[2]
+    return log_like
+
+
+def _smooth(density, n, heads, starts, tails, a):
+    """Weights per row given the whole series, the log likelihood per block, and the summed transition weights.
+
+    Scaled weights serve as long as they stay in range; blocks where they don't are done again in logarithms.
+    """
+    inside = np.arange(density.shape[1]) < n[:, None]
+    counts = inside.astype(float)
+    # Row 0 of the first block of a series has no row before it.
+    counts[:, 0] = np.where(starts, 0.0, 1.0)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        alpha, log_like, b = _forward(density, n, _unit(heads), starts, a)
+        beta = _backward(b, n, np.exp(tails - tails.max(-1, keepdims=True)), a)
+        weak = _weak(alpha, inside) | _weak(beta, inside)
+        gamma = alpha * beta
+        gamma = np.where(inside[..., None], gamma / gamma.sum(-1, keepdims=True), 0.0)
+    good = ~weak
+    ahead = (b * beta)[good]
+    left = np.concatenate([_unit(heads)[good][:, None], alpha[good][:, :-1]], axis=1)
+    norm = np.einsum("rsi,ij,rsj->rs", left, a, ahead)
+    weight = np.where(counts[good] > 0, 1.0 / np.where(norm > 0, norm, 1.0), 0.0)
+    xi = np.einsum("rsi,rsj,rs->ij", left, ahead, weight) * a
+    if weak.any():
+        log_a, d = _logs(a), density[weak]
+        la, lb, log_like[weak] = _in_logs(d, n[weak], heads[weak], starts[weak], tails[weak], log_a)
+        gamma[weak] = np.where(inside[weak][..., None], _unit(la + lb), 0.0)
+        before = np.concatenate([heads[weak][:, None], la[:, :-1]], axis=1)
+        pairs = before[..., :, None] + log_a + (d + lb)[..., None, :]
+        shares = np.exp(pairs - _lse(pairs.reshape(*pairs.shape[:2], -1), -1)[..., None, None])
+        xi = xi + np.einsum("rsij,rs->ij", np.where(counts[weak][..., None, None] > 0, shares, 0.0), counts[weak])
+    return gamma, log_like, xi
+
+
 # ---- stitching long series --------------------------------------------------------------------
 
 
 def _multiply(m: np.ndarray, step: np.ndarray, best: bool) -> np.ndarray:
-    """Row-by-matrix products, in sums or in maxima, kept in range."""
-    if best:
-        out = (m[..., :, :, None] + step[..., None, :, :]).max(-2)
-        return out - out.max(axis=(-2, -1), keepdims=True)
-    out = m @ step
-    return out / out.max(axis=(-2, -1), keepdims=True)
+    """Row-by-matrix products of log weights, in sums or in maxima, kept in range."""
+    terms = m[..., :, :, None] + step[..., None, :, :]
+    out = terms.max(-2) if best else _lse(terms, -2)
+    top = out.max(axis=(-2, -1), keepdims=True)
+    return out - np.where(np.isfinite(top), top, 0.0)
 
 
 def _block_matrices(model: HmmModel, best: bool):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         k, width = model.n_regimes, len(model.columns)
-        with np.errstate(divide="ignore"):
-            a = np.log(model.transitions) if best else model.transitions
+        a = _logs(model.transitions)
         for frame, x, n in _batches(frames, width):
-            density = _log_density(x, model)
-            density -= density.max(-1, keepdims=True)
-            b = density if best else np.exp(density)
-            unit = np.full((k, k), -np.inf) if best else np.zeros((k, k))
-            np.fill_diagonal(unit, 0.0 if best else 1.0)
+            b = _log_density(x, model)
+            b -= b.max(-1, keepdims=True)
+            unit = np.full((k, k), -np.inf)
+            np.fill_diagonal(unit, 0.0)
             starts = (frame["block"] == 0).to_numpy()[:, None, None]
-            step = a + b[:, 0, None, :] if best else a * b[:, 0, None, :]
-            first = unit + b[:, 0, None, :] if best else unit * b[:, 0, None, :]
-            m = np.where(starts, first, step)
+            m = np.where(starts, unit + b[:, 0, None, :], a + b[:, 0, None, :])
             for s in range(1, x.shape[1]):
-                step = a + b[:, s, None, :] if best else a * b[:, s, None, :]
-                m = np.where((s < n)[:, None, None], _multiply(m, step, best), m)
+                m = np.where((s < n)[:, None, None], _multiply(m, a + b[:, s, None, :], best), m)
             out = frame.drop(columns=["xs"])
             out["m"] = list(m.reshape(len(n), -1))
             yield out
@@ -211,15 +287,12 @@ def _block_matrices(model: HmmModel, best: bool):
 
 
 def _along(matrices: list[np.ndarray], head: np.ndarray, tail, best: bool):
-    """Heads and tails of consecutive pieces, given what enters the first and leaves the last."""
+    """Log weights at the heads and tails of consecutive pieces, given what enters the first and leaves the last."""
     heads = [head]
     for m in matrices:
-        if best:
-            out = (heads[-1][:, None] + m).max(0)
-            heads.append(out - out.max())
-        else:
-            out = heads[-1] @ m
-            heads.append(out / out.sum())
+        terms = heads[-1][:, None] + m
+        out = terms.max(0) if best else _lse(terms, 0)
+        heads.append(out - out.max())
     tails = [tail]
     if best and tail is None:
         tails = [np.array([float(np.argmax(heads[-1]))])]
@@ -227,8 +300,8 @@ def _along(matrices: list[np.ndarray], head: np.ndarray, tail, best: bool):
         if best:
             tails.append(np.array([float(np.argmax(heads[j] + matrices[j][:, int(tails[-1][0])]))]))
         else:
-            out = matrices[j] @ tails[-1]
-            tails.append(out / out.sum())
+            out = _lse(matrices[j] + tails[-1], 1)
+            tails.append(out - out.max())
     return heads[:-1], tails[::-1]
 
 
@@ -236,8 +309,7 @@ def _boundaries(matrices: DataFrame, keys: Sequence[str], model: HmmModel, longe
     """Rows ``(keys, block, head, tail)``. Series of more than ``FAN`` pieces are combined level by level,
     so no task sees more than ``FAN`` matrices of a series at a time."""
     k = model.n_regimes
-    with np.errstate(divide="ignore"):
-        first = np.log(model.start) if best else model.start
+    first = _logs(model.start)
     key_fields = [matrices.schema[c] for c in keys]
     doubles = T.ArrayType(T.DoubleType())
     ends = T.StructType(
@@ -253,7 +325,7 @@ def _boundaries(matrices: DataFrame, keys: Sequence[str], model: HmmModel, longe
         return rows[[*keys, "block"]].assign(head=heads, tail=tails)
 
     if longest <= FAN:
-        whole_tail = None if best else np.ones(k) / k
+        whole_tail = None if best else np.zeros(k)
         return matrices.groupBy(*keys).applyInPandas(lambda rows: place(rows, first, whole_tail), ends)
 
     grouped = matrices.withColumn("__group", F.floor(F.col("block") / FAN))
@@ -303,20 +375,8 @@ def _sufficient_statistics(model: HmmModel):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, k, width = model.transitions, model.n_regimes, len(model.columns)
         for frame, x, n in _batches(frames, width):
-            heads, starts = _heads(frame, model.start)
-            alpha, log_like, b = _forward(_log_density(x, model), n, heads, starts, a)
-            beta = _backward(b, n, _tails(frame, k), a)
-            inside = (np.arange(x.shape[1]) < n[:, None])[..., None]
-            gamma = alpha * beta
-            gamma = np.where(inside, gamma / gamma.sum(-1, keepdims=True), 0.0)
-            ahead = b * beta
-            left = np.concatenate([heads[:, None], alpha[:, :-1]], axis=1)
-            # Row 0 of the first block of a series has no row before it.
-            counts = inside[..., 0].astype(float)
-            counts[:, 0] = np.where(starts, 0.0, 1.0)
-            norm = np.einsum("rsi,ij,rsj->rs", left, a, ahead)
-            weight = np.where(counts > 0, 1.0 / np.where(norm > 0, norm, 1.0), 0.0)
-            xi = np.einsum("rsi,rsj,rs->ij", left, ahead, weight) * a
+            heads, starts = _heads(frame, _logs(model.start))
+            gamma, log_like, xi = _smooth(_log_density(x, model), n, heads, starts, _tails(frame, k), a)
             first = gamma[starts, 0].sum(0)
             moved = np.stack([np.einsum("rs,rsd->d", gamma[..., i], x - model.means[i]) for i in range(k)])
             spread = np.stack([np.einsum("rs,rsd->d", gamma[..., i], (x - model.means[i]) ** 2) for i in range(k)])
@@ -395,6 +455,8 @@ def fit(
     trace: list[float] = []
     for _ in range(n_iter):
         stats = _expectation(packed, model)
+        if not np.isfinite(stats).all():
+            raise FloatingPointError("the fit left the number range; are all features finite?")
         trace.append(float(stats[0]))
         model = _maximize(model, stats)
         if len(trace) > 1 and trace[-1] - trace[-2] < tol:
@@ -412,8 +474,8 @@ def log_likelihood(blocks: Blocks, model: HmmModel) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, x, n in _batches(frames, len(model.columns)):
-            heads, starts = _heads(frame, model.start)
-            _, log_like, _ = _forward(_log_density(x, model), n, heads, starts, model.transitions)
+            heads, starts = _heads(frame, _logs(model.start))
+            log_like = _log_likelihoods(_log_density(x, model), n, heads, starts, model.transitions)
             yield frame[keys].assign(log_likelihood=log_like)
 
     schema = T.StructType([*[blocks.df.schema[c] for c in keys], T.StructField("log_likelihood", T.DoubleType())])
@@ -437,10 +499,8 @@ def posterior(blocks: Blocks, model: HmmModel) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, x, n in _batches(frames, len(model.columns)):
-            heads, starts = _heads(frame, model.start)
-            alpha, _, b = _forward(_log_density(x, model), n, heads, starts, model.transitions)
-            gamma = alpha * _backward(b, n, _tails(frame, k), model.transitions)
-            gamma /= gamma.sum(-1, keepdims=True)
+            heads, starts = _heads(frame, _logs(model.start))
+            gamma, _, _ = _smooth(_log_density(x, model), n, heads, starts, _tails(frame, k), model.transitions)
             out = frame[[*keys, "block"]].copy()
             for i, name in enumerate(names):
                 out[name] = [gamma[lane, :length, i] for lane, length in enumerate(n)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Histogram bounds.
 LATENCY_BUCKETS = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0)
-STAGE_BUCKETS = LATENCY_BUCKETS[:9]
+STAGE_BUCKETS = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0)
 CONFIDENCE_BUCKETS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.99, 1.0)
 VALUE_BUCKETS = (0.0, 50.0, 100.0, 150.0, 200.0, 250.0, 300.0, 400.0, 500.0, 750.0, 1000.0)
 INFINITY = float("inf")
@@ -63,6 +63,25 @@ def histogram_quantile(buckets: DataFrame, q: float, labels: Sequence[str] = ())
     return rows.where(hit).select(*labels, F.lit(q).alias("quantile"), value.alias("value"))
 
 
+def windowed_quantile(
+    df: DataFrame, value: str, buckets: Sequence[float], q: float, ts: str = "timestamp", minutes: int = 5, every_minutes: int = 1
+) -> DataFrame:
+    """Quantile per sliding window from its buckets, over all other labels. Buckets are counted per step first."""
+    step = f"{every_minutes} minutes"
+    counts = histogram(df.withColumn("__step", F.window(ts, step)["start"]), value, buckets, ["__step"])
+    w = F.window("__step", f"{minutes} minutes", step)
+    summed = counts.groupBy(w.alias("__w"), "le").agg(F.sum("count").alias("count"))
+    flat = summed.select(F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), "le", "count")
+    return histogram_quantile(flat, q, ["window_start", "window_end"])
+
+
+def batch_counter(log: DataFrame, batch: Sequence[str], status: str = "status") -> DataFrame:
+    """Scored batches by outcome: all requests answered, some, or none."""
+    good = F.col(status) == "success"
+    outcome = F.when(F.bool_and(good), "success").when(F.bool_or(good), "partial").otherwise("error")
+    return counter(log.groupBy(*batch).agg(outcome.alias("outcome")), ["outcome"], "batches")
+
+
 def sliding_rate(
     df: DataFrame, labels: Sequence[str], ts: str = "timestamp", minutes: int = 5, every_minutes: int = 1
 ) -> DataFrame:

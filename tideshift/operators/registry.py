@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideshift.operators.runs import MAX_ROWS, RUN, ordered_runs
+from tideshift.operators.runs import MAX_ROWS, RUN, join_keys, ordered_runs
 
 RUN_SCHEMA = (
     "run_id string, run_name string, logged_at timestamp_ntz, tags map<string,string>, "
@@ -39,7 +39,7 @@ def run_record(
     row = (
         run_id or uuid.uuid4().hex,
         f"regime_{regime_id}_{model_name}",
-        logged_at or datetime.now(),
+        logged_at or datetime.now(UTC).replace(tzinfo=None),
         tags,
         logged,
         {k: float(v) for k, v in metrics.items()},
@@ -81,7 +81,7 @@ def assign_versions(
         return numbered
     newest = existing.groupBy("name").agg(F.max("version").alias("__newest"))
     shifted = F.coalesce("__newest", F.lit(0)) + F.col("version")
-    return numbered.join(newest, "name", "left").withColumn("version", shifted).drop("__newest")
+    return join_keys(numbered, newest, ["name"], "left").withColumn("version", shifted).drop("__newest")
 
 
 def latest_versions(versions: DataFrame) -> DataFrame:

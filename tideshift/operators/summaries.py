@@ -101,7 +101,13 @@ def latest_row(df: DataFrame, order: Sequence[str], keys: Sequence[str] = ()) ->
 
 
 def recent_rows(df: DataFrame, n: int, order: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """The last ``n`` rows (of each series). Tasks keep only ``n`` rows per series before the shuffle."""
+    """The last ``n`` rows (of each series). Tasks keep only ``n`` rows per series before the shuffle.
+
+    Spark does that for ranks up to a session setting, which is raised to ``n`` where it is lower.
+    """
+    setting = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(df.sparkSession.conf.get(setting)) < n:
+        df.sparkSession.conf.set(setting, str(n))
     newest_first = [F.desc(c) for c in order]
     if not keys:
         return df.orderBy(*newest_first).limit(n)

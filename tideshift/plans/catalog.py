@@ -5,6 +5,7 @@ from __future__ import annotations
 from tideshift.plans import (
     feature_queries,
     ingest_queries,
+    layout_queries,
     model_queries,
     monitoring_queries,
     regime_queries,
@@ -14,7 +15,7 @@ from tideshift.plans.regime_queries import flagship
 
 __all__ = ["all_oracles", "all_queries", "flagship"]
 
-MODULES = (feature_queries, ingest_queries, regime_queries, monitoring_queries, model_queries, stream_queries)
+MODULES = (feature_queries, ingest_queries, regime_queries, monitoring_queries, model_queries, stream_queries, layout_queries)
 
 
 def all_queries() -> dict:

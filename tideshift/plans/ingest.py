@@ -13,7 +13,7 @@ from tideshift.operators.joins import exact_join, nearest_join
 from tideshift.operators.runs import MAX_ROWS
 from tideshift.operators.validation import check_ranges, missing_columns, stamp_batch
 from tideshift.session import settle
-from tideshift.sources.lake import write_lake, write_quarantine
+from tideshift.sources.lake import quarantine_records, write_lake
 from tideshift.sources.payloads import normalize
 
 
@@ -67,9 +67,21 @@ def ingest_batch(
 
 
 def store_batch(
-    checked: DataFrame, lake: str, quarantine: str, start: datetime | None = None, end: datetime | None = None
+    checked: DataFrame,
+    lake: str,
+    quarantine: str,
+    start: datetime | None = None,
+    end: datetime | None = None,
+    unusable: DataFrame | None = None,
+    mode: str = "append",
 ) -> None:
-    """Accepted rows to the lake, the others to quarantine. The batch is computed once for both."""
+    """Accepted rows to the lake, the others to quarantine. The batch is computed once for both.
+
+    ``unusable`` payloads, which gave no rows, go to quarantine as they are.
+    """
     stored = settle(checked)
-    write_lake(stored.where(F.col("reason").isNull()).drop("reason"), lake)
-    write_quarantine(stored.where(F.col("reason").isNotNull()), quarantine, start, end)
+    write_lake(stored.where(F.col("reason").isNull()).drop("reason"), lake, mode=mode)
+    bad = quarantine_records(stored.where(F.col("reason").isNotNull()), start, end)
+    if unusable is not None:
+        bad = bad.unionByName(quarantine_records(unusable.withColumn("reason", F.lit("unusable payload")), start, end))
+    bad.write.mode(mode).partitionBy("reason").json(quarantine)

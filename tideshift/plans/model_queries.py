@@ -137,7 +137,7 @@ QUERIES = {
     "hmm_loglik": lambda s, d: rounded(hmm.log_likelihood(packed(s, d), MODEL)),
     "regime_attach": lambda s, d: rounded(hmm.attach_regimes(keyed(s, d), MODEL, **KEY)),
     "regime_model_roundtrip": model_roundtrip,
-    "cpd_breakpoints": lambda s, d: changepoints.change_points(keyed(s, d), "energy_production", **KEY),
+    "cpd_breakpoints": lambda s, d: changepoints.change_points(keyed(s, d), "energy_production", keys=KEY["keys"]),
     "cpd_regimes": lambda s, d: changepoints.attach_change_point_regimes(keyed(s, d), "energy_production", **KEY),
     "train_all": train_all,
     "split": split,

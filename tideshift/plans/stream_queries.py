@@ -19,8 +19,9 @@ from tideshift.streaming import streams
 
 
 def event_stream(spark, sf) -> DataFrame:
+    """The events table as a stream, be it one file or a folder of files: a source takes either as a pattern only."""
     schema = table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return spark.readStream.schema(schema).parquet(f"{sf}/event[s].parquet")
 
 
 def stream_score(spark, sf) -> DataFrame:

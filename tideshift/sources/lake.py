@@ -4,26 +4,48 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 PARTS = ("year", "month", "day")
+LAYOUT = "_layout"  # hidden from readers of the lake
 
 
-def write_lake(df: DataFrame, path: str, ts: str = "timestamp", run_end: datetime | None = None) -> None:
-    """Append rows below ``year=/month=/day=``.
+def write_lake(df: DataFrame, path: str, ts: str = "timestamp", run_end: datetime | None = None, mode: str = "append") -> None:
+    """Write rows below ``year=/month=/day=``.
 
     Each row goes to the day of its own timestamp. With ``run_end`` the whole batch goes to that day,
-    which is how a run-stamped lake is laid out.
+    which is how a run-stamped lake is laid out; how far such a batch reaches to either side of that day is written
+    beside the lake, so that ``read_lake`` looks into the right folders.
     """
     stamp = F.lit(run_end).cast("timestamp_ntz") if run_end else F.col(ts)
     dated = df.withColumns({"year": F.year(stamp), "month": F.month(stamp), "day": F.dayofmonth(stamp)})
     if run_end is None:
         # Adaptive execution splits a large day and merges small ones into files of the advisory size.
         dated = dated.hint("rebalance", *PARTS)
-    dated.write.mode("append").partitionBy(*PARTS).parquet(path)
+        dated.write.mode(mode).partitionBy(*PARTS).parquet(path)
+        return
+    seen = Observation()
+    reach = dated.observe(seen, F.min(F.to_date(F.col(ts))).alias("first"), F.max(F.to_date(F.col(ts))).alias("last"))
+    reach.write.mode(mode).partitionBy(*PARTS).parquet(path)
+    first, last = seen.get["first"] or run_end.date(), seen.get["last"] or run_end.date()
+    row = (max(0, (run_end.date() - first).days), max(0, (last - run_end.date()).days))
+    spark = df.sparkSession
+    spark.createDataFrame([row], "before int, after int").coalesce(1).write.mode("append").parquet(f"{path}/{LAYOUT}")
+
+
+def lake_reach(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Days by which rows may lie before and after the day of their folder."""
+    try:
+        found = spark.read.parquet(f"{path}/{LAYOUT}").agg(F.max("before"), F.max("after")).collect()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0, 0
+    return found[0] or 0, found[1] or 0
 
 
 def read_lake(
@@ -33,12 +55,15 @@ def read_lake(
     end: datetime | None = None,
     ts: str = "timestamp",
 ) -> DataFrame:
-    """Lake rows of ``[start, end]``. Bounds prune day folders and are pushed to the remaining files."""
+    """Lake rows of ``[start, end]``. Bounds prune day folders, widened by how far batches reach, and are pushed to the
+    remaining files."""
     df = spark.read.parquet(path)
     day = F.col("year") * 10_000 + F.col("month") * 100 + F.col("day")
+    before, ahead = lake_reach(spark, path)
     for bound, after in ((start, True), (end, False)):
         if bound is not None:
-            limit = bound.year * 10_000 + bound.month * 100 + bound.day
+            folder = bound - timedelta(days=ahead) if after else bound + timedelta(days=before)
+            limit = folder.year * 10_000 + folder.month * 100 + folder.day
             at = F.lit(bound).cast(df.schema[ts].dataType)
             df = df.where((day >= limit) & (F.col(ts) >= at) if after else (day <= limit) & (F.col(ts) <= at))
     return df
@@ -78,7 +103,7 @@ def save_features(
     df: DataFrame, store: str, version: str = "1.0.0", name: str = "energy_features", now: datetime | None = None
 ) -> str:
     """Write a feature set and its metadata row; returns the path of the set."""
-    created = now or datetime.now()
+    created = now or datetime.now(UTC).replace(tzinfo=None)
     path = f"{store}/data/{name}/v{version}/{created:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     df.write.parquet(path)
     spark = df.sparkSession

@@ -14,7 +14,8 @@ from tideshift.operators import drift
 from tideshift.operators.scoring import score_batch
 from tideshift.operators.validation import check_ranges, stamp_batch
 from tideshift.plans.ingest import store_batch
-from tideshift.sources.payloads import explode_records, normalize
+from tideshift.session import settle
+from tideshift.sources.payloads import explode_records, normalize, rejected_payloads
 
 CHECK_EVERY = "300 seconds"
 
@@ -41,14 +42,20 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Landed payloads, one per file or one per line, to the lake; rejected rows to quarantine.
 
-    Every micro-batch goes through the same operators as a batch run. A batch repeated after a failure
-    appends its rows again; ``latest_ingested`` reads each key and timestamp once.
+    Every micro-batch goes through the same operators as a batch run. Payloads that are no records go to quarantine
+    with a reason. A micro-batch writes below its own ``batch=`` folder, so a batch repeated after a failure
+    replaces its rows in both places.
     """
     files = spark.readStream.format("text").option("wholetext", str(one_per_file).lower()).load(landing)
 
-    def store(batch: DataFrame, _: int) -> None:
-        rows = normalize(explode_records(batch.withColumnRenamed("value", "payload"), record), keys=keys)
-        store_batch(stamp_batch(check_ranges(rows, ts="timestamp"), "stream"), lake, quarantine)
+    def store(batch: DataFrame, number: int) -> None:
+        landed = settle(batch.withColumnRenamed("value", "payload"))
+        rows = normalize(explode_records(landed, record), keys=keys)
+        checked = stamp_batch(check_ranges(rows, ts="timestamp"), "stream")
+        store_batch(
+            checked, f"{lake}/batch={number}", f"{quarantine}/batch={number}",
+            unusable=rejected_payloads(landed, record), mode="overwrite",
+        )
 
     writer = files.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return _start(writer, once)
@@ -76,7 +83,7 @@ def rate_stream(
     Rows later than ``late`` behind the newest are dropped. Updated windows are written per batch, so a
     repeated batch replaces itself; ``read_rates`` returns the newest state of each.
     """
-    length = int(window.split()[0]) * {"minute": 60, "minutes": 60, "seconds": 1, "hour": 3600, "hours": 3600}[window.split()[1]]
+    length = log.sparkSession.sql(f"SELECT unix_micros(timestamp_micros(0) + INTERVAL '{window}') / 1e6D").collect()[0][0]
     counts = (
         log.withColumn(ts, F.col(ts).cast("timestamp"))
         .withWatermark(ts, late)
@@ -138,5 +145,7 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None while there is none."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
