@@ -297,17 +297,35 @@ def _chi_sql(by: str) -> str:
 
 
 _KOLMOGOROV = "greatest(0e0, least(1e0, list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 2e0 ELSE -2e0 END) * exp(-2e0 * k * k * z2)))))"
-_REPORT = f"""{_SCORED}, {_tests_sql((*_WATCHED, 'prediction'), source='scored')}, {_chi_sql('')},
-  j AS (SELECT mom.*, ks, ws, kl, ks * ks * nr * nc / (nr + nc) AS z2 FROM mom JOIN dist USING (feature) JOIN kl USING (feature)),
+_HALVES = "timestamp < TIMESTAMP '2024-01-16'"
+
+
+def _report_sql(by: str = "", rows: str = "", ref: str = _HALVES) -> str:
+    """Common tables up to ``rep``, the whole report. ``rows`` defines a table ``sides`` from ``scored``; ``ref`` tells its sides."""
+    source, g = ("sides" if rows else "scored"), (f"{by}, " if by else "")
+    tests = _tests_sql((*_WATCHED, "prediction"), by, source=source).replace(_HALVES, ref)
+    chi = _chi_sql(by).replace(_HALVES, ref).replace("timestamp >= TIMESTAMP '2024-01-16'", f"NOT ({ref})").replace("FROM scored", f"FROM {source}")
+    using = f"USING ({g}feature)"
+    return f"""{_SCORED}, {rows}{', ' if rows else ''}{tests}, {chi},
+  j AS (SELECT mom.*, ks, ws, kl, ks * ks * nr * nc / (nr + nc) AS z2 FROM mom JOIN dist {using} JOIN kl {using}),
   p AS (SELECT *, CASE WHEN z2 < 4e-2 THEN 1e0 ELSE {_KOLMOGOROV} END AS pv FROM j),
   t AS (SELECT *, pv < 5e-2 AS kd, ws > 3e-1 AS wd, kl > 1e-1 AS ld FROM p),
   s AS (SELECT *, CAST(kd AS INT) + CAST(wd AS INT) + CAST(ld AS INT) AS failed FROM t),
-  rep AS (SELECT CASE feature WHEN 'prediction' THEN 'prediction_drift' ELSE 'feature_drift' END AS type, feature, failed > 0 AS drift_detected,
+  rep AS (SELECT {g}CASE feature WHEN 'prediction' THEN 'prediction_drift' ELSE 'feature_drift' END AS type, feature, failed > 0 AS drift_detected,
     CASE WHEN failed >= 2 THEN 'high' WHEN failed = 1 THEN 'medium' ELSE 'low' END AS severity, ks AS ks_statistic, kd AS ks_drift,
     ws AS wasserstein_distance, wd AS wasserstein_drift, kl AS kl_divergence, ld AS kl_drift,
-    abs(mc - mr) / (abs(mr) + 1e-8) * 100 AS mean_shift_pct, abs(sc - sr) / (abs(sr) + 1e-8) * 100 AS std_shift_pct, NULL::DOUBLE AS chi2_statistic FROM s
-    UNION ALL SELECT 'regime_drift', 'regime', chi2 > 10, CASE WHEN chi2 > 20 THEN 'high' WHEN chi2 > 10 THEN 'medium' ELSE 'low' END,
-    NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, chi2 FROM chi)"""
+    abs(mc - mr) / (abs(mr) + 1e-8) * 100 AS mean_shift_pct, abs(sc - sr) / (abs(sr) + 1e-8) * 100 AS std_shift_pct, NULL::DOUBLE AS chi2_statistic, pv AS ks_pvalue FROM s
+    UNION ALL SELECT {g}'regime_drift', 'regime', chi2 > 10, CASE WHEN chi2 > 20 THEN 'high' WHEN chi2 > 10 THEN 'medium' ELSE 'low' END,
+    NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, chi2, NULL FROM chi)"""
+
+
+# The newest 1000 rows of each kind of event, and its newest 100 again.
+_RECENT = """ranked AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY timestamp DESC, event_id DESC) AS rn,
+    count(*) OVER (PARTITION BY event_type) AS n FROM scored),
+  sides AS (SELECT *, TRUE AS isref FROM ranked WHERE rn <= 1000 AND n >= 100 UNION ALL SELECT *, FALSE FROM ranked WHERE rn <= 100)"""
+# The first half of the period, and the newest 100 rows.
+_STREAMED = f"""sides AS (SELECT *, TRUE AS isref FROM scored WHERE {_HALVES}
+    UNION ALL (SELECT *, FALSE FROM scored ORDER BY timestamp DESC, event_id DESC LIMIT 100))"""
 _DOUBLES = ("ks_statistic", "wasserstein_distance", "kl_divergence", "mean_shift_pct", "std_shift_pct", "chi2_statistic")
 _ALERTS = """al AS (SELECT user_id, timestamp, CASE WHEN price > 300 THEN 'HIGH' WHEN price > 150 THEN 'medium' WHEN price > 80 THEN 'low' ELSE 'notice' END AS severity
   FROM (SELECT user_id, date_trunc('day', timestamp)::TIMESTAMP AS timestamp, max(price) AS price FROM points GROUP BY 1, 2))"""
@@ -368,9 +386,13 @@ ORACLE = {
         f"""+ {_SCORED}, {_chi_sql('event_type')} SELECT event_type, {sql_round('chi2', 'chi2_statistic')}, chi2 > 10 AS drift_detected,
         CASE WHEN chi2 > 20 THEN 'high' WHEN chi2 > 10 THEN 'medium' ELSE 'low' END AS severity,
         {', '.join(sql_round(f'{m}_{k}', f'{m}_{k}') for m in ('cur', 'ref') for k in range(3))} FROM chi""", "points"),
-    "drift_severity": with_views(f"+ {_REPORT} SELECT feature, severity, drift_detected FROM rep", "points"),
+    "drift_severity": with_views(f"+ {_report_sql()} SELECT feature, severity, drift_detected FROM rep", "points"),
     "drift_report": with_views(
-        f"+ {_REPORT} SELECT " + ", ".join(sql_round(c, c, 9) if c in _DOUBLES else f"{c}::INTEGER AS {c}" if c in ("ks_drift", "wasserstein_drift", "kl_drift") else c for c in REPORT_COLUMNS) + " FROM rep", "points"),
+        f"+ {_report_sql()} SELECT " + ", ".join(sql_round(c, c, 9) if c in _DOUBLES else f"{c}::INTEGER AS {c}" if c in ("ks_drift", "wasserstein_drift", "kl_drift") else c for c in REPORT_COLUMNS) + " FROM rep", "points"),
+    "drift_report_recent": with_views(
+        f"+ {_report_sql('event_type', _RECENT, 'isref')} SELECT event_type, " + ", ".join(sql_round(c, c) if c in (*_DOUBLES, "ks_pvalue") else f"{c}::INTEGER AS {c}" if c in ("ks_drift", "wasserstein_drift", "kl_drift") else c for c in (*REPORT_COLUMNS, "ks_pvalue")) + " FROM rep", "points"),
+    "stream_drift": with_views(
+        f"+ {_report_sql('', _STREAMED, 'isref')} SELECT type, feature, severity, " + ", ".join(sql_round(c, c) for c in ("ks_statistic", "wasserstein_distance", "kl_divergence", "chi2_statistic")) + " FROM rep", "points"),
     "drift_reference": with_views(
         f"""SELECT event_id, user_id, timestamp, event_type, {', '.join(sql_round(c, c) for c in ('wind_speed', 'energy_production', 'temperature', 'price'))} FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY timestamp DESC, event_id DESC) AS rn, count(*) OVER (PARTITION BY user_id) AS n FROM points)

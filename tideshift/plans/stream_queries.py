@@ -87,6 +87,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "stream_drift": monitoring_queries.ORACLE["stream_drift"],
     "stream_score": regime_queries.ORACLE["batch_score"],
     "stream_rate": monitoring_queries.ORACLE["rate_5m"],
     "stream_ingest": regime_queries.ORACLE["range_validate"].replace(
