@@ -6,8 +6,10 @@ hash (the first of equals) is its anchor, so equal strings have the same anchor,
 bucket. Each bucket holds, for every place of the anchor, the segment of text whose strings have it.
 
 1. Documents with equal texts are found by digests: all but the smallest id go whole, and only that one goes on.
-2. Anchors that occur in two documents or tasks set bits in a filter of fixed size, which is sent to all tasks. Other
-   segments can't repeat and are not dealt out. A full filter lets more through and changes no result.
+2. Anchors that occur in two documents or tasks set bits in a filter of fixed size, which is sent to all tasks; of those
+   that pass, the longer strings on either side of the anchor do the same. Other segments can't repeat and are not dealt
+   out. Filters also tell later copies (step 1) and, at the end, the documents without spans, so their texts are not
+   shuffled. A full filter lets more through and changes no result.
 3. A task that sees a segment again under a larger id settles it at once, so a passage in a third of all documents
    reaches its bucket once per task, not once per document.
 4. In a bucket, the suffixes that share their first ``length`` bytes are classes; a class whose members all have the same
@@ -23,11 +25,14 @@ so rows that repeat with their id stay alike. Strings never cross documents. All
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +43,7 @@ LENGTH = 50
 ANCHOR = 20
 LAST_ID = (1 << 63) - 1  # stands for a missing id
 BUCKET_BITS = 12
-FILTER_BITS = 27  # bits of the anchor filter, as a power of two: 16 MB
+FILTER_BITS = 27  # bits of a filter, as a power of two: 16 MB
 HELD_ANCHORS = 2_000_000
 KNOWN_SEGMENTS = 500_000
 BUCKET_ROWS = 100_000  # segments that are worked on together, rounded up to whole anchors
@@ -77,11 +82,12 @@ def _slide(values: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 class Segments:
-    """Segments of a batch of texts: row, first string, strings, place of the anchor in it, and the anchor's hash."""
+    """Segments of a batch of texts: row, first string, number of strings, place of the anchor, and its hash."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, length: int, k: int):
         width = length - k + 1
-        self.row = self.start = self.count = self.left = np.zeros(0, np.int64)
+        self.length, self.k = length, k
+        self.row = self.start = self.count = self.anchor = np.zeros(0, np.int64)
         self.hash = np.zeros(0, np.uint64)
         if len(data) < length:
             return
@@ -109,13 +115,29 @@ class Segments:
         begin = np.flatnonzero(new)
         self.row, self.start = row[begin], at[begin]
         self.count = np.diff(np.append(begin, len(at)))
-        anchor = places[own[begin]]
-        self.left = anchor - self.start
-        self.hash = hashes[anchor]
+        self.anchor = places[own[begin]]
+        self.hash = hashes[self.anchor]
 
+    def sides(self, data: np.ndarray, offsets: np.ndarray, which: np.ndarray):
+        """Hashes of the strings that reach from an anchor half of the rest to the left and to the right, and which exist.
 
-def _anchor_bits(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket of each anchor and two bit places within the bucket's part of the filter."""
+        Equal strings of the full length that share an anchor share one of the two.
+        """
+        width = self.k + (self.length - self.k + 1) // 2
+        hashes = rolling(data, width)
+        row, anchor = self.row[which], self.anchor[which]
+        out = []
+        for start in (anchor + self.k - width, anchor):
+            there = (start >= offsets[row]) & (start + width <= offsets[row + 1])
+            out.append((hashes[np.where(there, start, 0)] if len(hashes) else np.zeros(len(row), np.uint64), there))
+        return out
+
+
+# ---------------------------------------------------------------- filters of fixed size
+
+
+def _bit_places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket of each hash and two bit places within the bucket's part of a filter."""
     inside = bits - BUCKET_BITS
     mask = np.uint64((1 << inside) - 1)
     return (
@@ -125,64 +147,100 @@ def _anchor_bits(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray,
     )
 
 
-def repeated_anchors(docs: DataFrame, length: int, k: int, bits: int) -> np.ndarray:
-    """The filter: bits of all anchors that occur in more than one document, or in more than one part of a task."""
-    schema = T.StructType([
-        T.StructField("bucket", T.IntegerType()), T.StructField("hashes", T.BinaryType()), T.StructField("again", T.BinaryType()),
-    ])
+def _part(hashes: np.ndarray, bits: int) -> bytes:
+    """The bits that hashes of one bucket set in its part."""
+    part = np.zeros(1 << (bits - BUCKET_BITS), bool)
+    _, one, two = _bit_places(hashes, bits)
+    part[one] = part[two] = True
+    return np.packbits(part).tobytes()
 
-    def packed(parts) -> pa.RecordBatch:
-        hashes, docs_of = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((docs_of, hashes))
-        hashes, docs_of = hashes[order], docs_of[order]
-        new = np.ones(len(hashes), bool)
-        new[1:] = hashes[1:] != hashes[:-1]
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(hashes)) - 1
-        again = docs_of[first] != docs_of[last]
-        hashes = hashes[first]
-        bucket = (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
-        cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-        ends = np.append(cuts[1:], len(bucket))
-        # Six bytes of a hash suffice within its bucket; a chance meeting only costs a look.
-        raw = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(bucket[cuts]), pa.array([raw[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-             pa.array([np.packbits(again[a:b]).tobytes() for a, b in zip(cuts, ends)], pa.binary())], names=schema.names,
-        )
 
-    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
+def passes(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes may have been put into the filter; all that were do."""
+    bits = BUCKET_BITS + int(filter_.shape[1] * 8).bit_length() - 1
+    bucket, one, two = _bit_places(hashes, bits)
+    bit = lambda p: (filter_[bucket, p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1
+    return (bit(one) & bit(two)).astype(bool)
+
+
+def send(spark: SparkSession, filter_: np.ndarray) -> Broadcast:
+    """A filter for all tasks, compressed: one that holds little is small."""
+    return spark.sparkContext.broadcast((zlib.compress(filter_.tobytes(), 1), filter_.shape))
+
+
+def opened(sent: Broadcast) -> np.ndarray:
+    raw, shape = sent.value
+    return np.frombuffer(zlib.decompress(raw), np.uint8).reshape(shape)
+
+
+PART = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("bits", T.BinaryType())])
+
+
+def _assembled(parts: DataFrame, bits: int) -> np.ndarray:
+    """The filter from one row for each bucket: the same few megabytes whatever the size of the input."""
+    made = np.zeros((1 << BUCKET_BITS, (1 << (bits - BUCKET_BITS)) // 8), np.uint8)
+    for row in parts.collect():
+        made[row["bucket"]] |= np.frombuffer(row["bits"], np.uint8)
+    return made
+
+
+def filter_of(hashes: DataFrame, bits: int, column: str = "h") -> np.ndarray:
+    """A filter that holds the 64-bit hashes of a column."""
+    bucket = F.shiftrightunsigned(column, 64 - BUCKET_BITS).cast("int").alias("bucket")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, "text") if batch.num_rows else ():
-                found = Segments(*utf8(piece.column("text")), length, k)
-                if len(found.hash):
-                    parts.append((found.hash, piece.column("doc").to_numpy()[found.row]))
-                    held += len(found.hash)
-                if held > HELD_ANCHORS:
-                    yield packed(parts)
-                    parts, held = [], 0
-        if held:
-            yield packed(parts)
+            own, values = batch.column("bucket").to_numpy(), batch.column("h").to_numpy().view(np.uint64)
+            cuts = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), len(own)]
+            spans = [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(own[a]) for a, _ in spans], pa.int32()), pa.array([_part(values[a:b], bits) for a, b in spans], pa.binary())],
+                names=PART.names,
+            )
+
+    rows = hashes.select(bucket, F.col(column).alias("h"))
+    # A bucket may come in several batches; its parts are put together by the driver.
+    return _assembled(rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, PART), bits)
+
 
-    out = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("bits", T.BinaryType())])
+def _kept(piece: pa.RecordBatch, copies: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+    """Without rows that are known to be later copies: their text has copies and they are not its first row."""
+    text, row = (piece.column(n).to_numpy().view(np.uint64) for n in ("ht", "hr"))
+    keep = ~passes(copies[0], text) | passes(copies[1], row)
+    return piece if keep.all() else piece.filter(pa.array(keep))
+
+
+def copy_filters(first: DataFrame, bits: int) -> tuple[Broadcast, Broadcast]:
+    """Filters of the texts that have copies, and of the first rows of all texts that the former lets through.
+
+    A first row always passes both, so none is taken for a copy.
+    """
+    spark = first.sparkSession
+    texts = send(spark, filter_of(first.where("n > 1").select(F.col("ht").alias("h")), bits))
+    schema = T.StructType([T.StructField("h", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = opened(texts)
+        for batch in batches:
+            hit = passes(marks, batch.column("ht").to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([batch.column("hr").filter(pa.array(hit))], names=["h"])
+
+    return texts, send(spark, filter_of(first.select("ht", "hr").mapInArrow(run, schema), bits))
+
+
+def _repeated(hashed: DataFrame, bits: int) -> np.ndarray:
+    """The filter of hashes that occur in more than one document, from packed rows (``bucket``, ``hashes``, ``again``)."""
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = 1 << (bits - BUCKET_BITS)
         now, hashes, again = None, [], []
 
         def rows() -> pa.RecordBatch:
-            raw = np.concatenate(hashes)
-            wide = np.zeros((len(raw), 8), np.uint8)
-            wide[:, :6] = raw
-            values, counts = np.unique(wide.view("<u8").ravel(), return_counts=True)
-            keep = np.concatenate([values[counts > 1], wide.view("<u8").ravel()[np.concatenate(again)]])
-            part = np.zeros(size, bool)
-            _, one, two = _anchor_bits(keep, bits)
-            part[one] = part[two] = True
-            return pa.RecordBatch.from_arrays(
-                [pa.array([now], pa.int32()), pa.array([np.packbits(part).tobytes()], pa.binary())], names=out.names
-            )
+            wide = np.zeros((sum(map(len, hashes)), 8), np.uint8)
+            wide[:, :6] = np.concatenate(hashes)
+            values = wide.view("<u8").ravel()
+            distinct, counts = np.unique(values, return_counts=True)
+            keep = np.concatenate([distinct[counts > 1], values[np.concatenate(again)]])
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([_part(keep, bits)], pa.binary())], names=PART.names)
 
         for batch in batches:
             for bucket, one, two in zip(*[batch.column(n).to_pylist() for n in ("bucket", "hashes", "again")]):
@@ -196,14 +254,67 @@ def repeated_anchors(docs: DataFrame, length: int, k: int, bits: int) -> np.ndar
         if hashes:
             yield rows()
 
-    bounded_batches(docs.sparkSession)
-    dealt = docs.select("doc", "text").mapInArrow(anchors, schema).repartition("bucket").sortWithinPartitions("bucket")
-    made = np.zeros((1 << BUCKET_BITS, (1 << (bits - BUCKET_BITS)) // 8), np.uint8)
-    for row in dealt.mapInArrow(marked, out).collect():  # one row for each bucket: 16 MB in all
-        made[row["bucket"]] |= np.frombuffer(row["bits"], np.uint8)
-    return made
+    return _assembled(hashed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(marked, PART), bits)
+
+
+HASHED = T.StructType([
+    T.StructField("bucket", T.IntegerType()), T.StructField("hashes", T.BinaryType()), T.StructField("again", T.BinaryType()),
+])
+
+
+def _packed(parts) -> pa.RecordBatch:
+    """Distinct hashes by bucket, each with whether several documents of these parts have it."""
+    hashes, docs = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((docs, hashes))
+    hashes, docs = hashes[order], docs[order]
+    first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+    last = np.append(first[1:], len(hashes)) - 1
+    again, hashes = docs[first] != docs[last], hashes[first]
+    bucket = (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+    cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    ends = np.append(cuts[1:], len(bucket))
+    # Six bytes of a hash suffice within its bucket; a chance meeting only costs a look.
+    raw = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[cuts]), pa.array([raw[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+         pa.array([np.packbits(again[a:b]).tobytes() for a, b in zip(cuts, ends)], pa.binary())], names=HASHED.names,
+    )
+
+
+def repeated_hashes(texts: DataFrame, copies, length: int, k: int, bits: int, anchors: Broadcast | None = None) -> Broadcast:
+    """The filter of repeated anchors, or with it that of the longer strings on the sides of anchors that pass it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = tuple(map(opened, copies))
+        marks = opened(anchors) if anchors is not None else None
+        parts, held = [], 0
+        for batch in batches:
+            for piece in slices(batch, "text") if batch.num_rows else ():
+                piece = _kept(piece, known)
+                data, offsets = utf8(piece.column("text"))
+                found = Segments(data, offsets, length, k)
+                docs = piece.column("doc").to_numpy()[found.row]
+                hashes = found.hash
+                if marks is not None:
+                    near = np.flatnonzero(passes(marks, hashes))
+                    (left, has_left), (right, has_right) = found.sides(data, offsets, near)
+                    hashes = np.concatenate([left[has_left], right[has_right]])
+                    docs = np.concatenate([docs[near][has_left], docs[near][has_right]])
+                if len(hashes):
+                    parts.append((hashes, docs))
+                    held += len(hashes)
+                if held > HELD_ANCHORS:
+                    yield _packed(parts)
+                    parts, held = [], 0
+        if held:
+            yield _packed(parts)
+
+    bounded_batches(texts.sparkSession)
+    return send(texts.sparkSession, _repeated(texts.select("doc", "ht", "hr", "text").mapInArrow(run, HASHED), bits))
 
 
+# ---------------------------------------------------------------- segments and buckets
+
 SEGMENT = T.StructType([
     T.StructField("anchor", T.LongType()), T.StructField("doc", T.LongType()), T.StructField("t1", T.LongType()), T.StructField("t2", T.LongType()),
     T.StructField("start", T.IntegerType()), T.StructField("size", T.IntegerType()), T.StructField("bytes", T.BinaryType()),
@@ -211,22 +322,21 @@ SEGMENT = T.StructType([
 SPAN = T.StructType([SEGMENT[n] for n in ("doc", "t1", "t2", "start", "size")])
 
 
-def segments(texts: DataFrame, filter_: np.ndarray, length: int, k: int, bits: int) -> DataFrame:
-    """Segments whose anchor passes the filter; those settled in their task have no ``bytes`` and are spans already."""
-    shared = texts.sparkSession.sparkContext.broadcast(filter_)  # fixed size
+def segments(texts: DataFrame, copies, sides: Broadcast, length: int, k: int) -> DataFrame:
+    """Segments with a side that passes the filter; those settled in their task have no ``bytes`` and are spans already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = shared.value
+        known, marks = tuple(map(opened, copies)), opened(sides)
         least: dict[bytes, int] = {}  # smallest id seen with a segment, by digest
         for batch in batches:
             for piece in slices(batch, "text") if batch.num_rows else ():
+                piece = _kept(piece, known)
                 data, offsets = utf8(piece.column("text"))
                 found = Segments(data, offsets, length, k)
                 if not len(found.hash):
                     continue
-                bucket, one, two = _anchor_bits(found.hash, bits)
-                bit = lambda p: (marks[bucket, p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1
-                keep = np.flatnonzero(bit(one) & bit(two))
+                (left, has_left), (right, has_right) = found.sides(data, offsets, np.arange(len(found.hash)))
+                keep = np.flatnonzero((has_left & passes(marks, left)) | (has_right & passes(marks, right)))
                 if not len(keep):
                     continue
                 row, start, count = found.row[keep], found.start[keep], found.count[keep]
@@ -252,7 +362,7 @@ def segments(texts: DataFrame, filter_: np.ndarray, length: int, k: int, bits: i
                 )
 
     bounded_batches(texts.sparkSession)
-    return texts.select("doc", "t1", "t2", "text").mapInArrow(run, SEGMENT)
+    return texts.select("doc", "t1", "t2", "ht", "hr", "text").mapInArrow(run, SEGMENT)
 
 
 def interval_tree(lcp: list[int], docs: list[int], before: list[int]) -> Iterator[tuple[int, list[int]]]:
@@ -420,12 +530,30 @@ def bucket_spans(dealt: DataFrame, length: int) -> DataFrame:
     return dealt.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, SPAN)
 
 
-def cut_out(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """``doc``, ``t1``, ``t2``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the remaining bytes) of each row."""
+def cut_out(texts: DataFrame, spans: DataFrame, bits: int) -> DataFrame:
+    """``doc``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the remaining bytes) of each row.
+
+    Only rows that may have spans, by a filter of fixed size, are joined; the others stay where they are.
+    """
     keys = ["doc", "t1", "t2"]
+    marks = filter_of(spans.select(*keys).distinct().select(F.xxhash64(*keys).alias("h")), bits)
+    sent = send(texts.sparkSession, marks)
+
+    @F.pandas_udf(T.BooleanType())
+    def may_have(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        marks = opened(sent)
+        for hr in parts:
+            yield pd.Series(passes(marks, hr.to_numpy().view(np.uint64)))
+
+    bounded_batches(texts.sparkSession)
+    marked = texts.withColumn("near", may_have("hr"))
+    whole = marked.where(~F.col("near")).select(
+        "doc", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
+        F.lit(0).cast("long").alias("n_spans"), F.col("text").cast("binary").alias("kept"),
+    )
     listed = spans.groupBy(*keys).agg(F.collect_list(F.struct("start", "size")).alias("s"))  # no more than a text has room for
     packed = listed.select(*keys, F.col("s.start").alias("starts"), F.col("s.size").alias("sizes"))
-    joined = texts.join(packed, keys, "left")
+    joined = marked.where("near").select(*keys, "text").join(packed, keys, "left")
     schema = T.StructType([
         texts.schema["doc"], *[T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept", T.BinaryType()),
     ])
@@ -451,7 +579,7 @@ def cut_out(texts: DataFrame, spans: DataFrame) -> DataFrame:
 
         return step
 
-    return map_texts(joined.select("doc", "text", "starts", "sizes"), work, schema)
+    return whole.unionByName(map_texts(joined.select("doc", "text", "starts", "sizes"), work, schema))
 
 
 def remove_repeats(
@@ -468,15 +596,15 @@ def remove_repeats(
         body.alias("text"),
     )
     keys = ["doc", "t1", "t2"]
-    known = settle(texts.select(*keys, F.octet_length("text").alias("size")))
-    first = known.groupBy("t1", "t2").agg(F.min("doc").alias("least"), F.first("size").alias("size"))
-    first = settle(first.where(F.col("size") >= length))
-    copies = known.where(F.col("size") >= length).join(first.drop("size"), ["t1", "t2"]).where("doc > least").select(
-        *keys, F.lit(0).alias("start"), "size"
-    ).distinct()
-    marks = repeated_anchors(texts, length, k, filter_bits)
-    one_each = texts.join(first.select(F.col("least").alias("doc"), "t1", "t2"), keys, "left_semi")
-    spans = settle(bucket_spans(segments(one_each, marks, length, k, filter_bits), length).unionByName(copies))
-    return cut_out(texts, spans).select(
+    texts = texts.withColumns({"ht": F.xxhash64("t1", "t2"), "hr": F.xxhash64(*keys)})
+    known = settle(texts.select(*keys, F.octet_length("text").alias("size"))).where(F.col("size") >= length)
+    first = settle(known.groupBy("t1", "t2").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("n")))
+    later = known.join(first.where("n > 1").drop("n"), ["t1", "t2"]).where("doc > least")
+    whole = later.select(*keys, F.lit(0).alias("start"), "size").distinct()
+    copies = copy_filters(first.select(F.xxhash64("t1", "t2").alias("ht"), F.xxhash64("least", "t1", "t2").alias("hr"), "n"), filter_bits)
+    anchors = repeated_hashes(texts, copies, length, k, filter_bits)
+    sides = repeated_hashes(texts, copies, length, k, filter_bits, anchors)
+    spans = settle(bucket_spans(segments(texts, copies, sides, length, k), length).unionByName(whole))
+    return cut_out(texts, spans, filter_bits).select(
         F.when(F.col("doc") != LAST_ID, F.col("doc")).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept"
     )
