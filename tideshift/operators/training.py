@@ -121,18 +121,19 @@ def train_regimes(
     """
     if regime not in df.columns:
         raise ValueError(f"rows need a '{regime}' column")
-    # Infinite rates of change cannot enter a model; they count as incomplete here.
+    # Infinite rates of change cannot enter a model; such rows are left out and counted.
     finite = [F.abs(F.col(c).cast("double")) != float("inf") for c in columns]
-    complete = df.dropna("any").where(F.forall(F.array(*finite), lambda ok: ok))
+    complete = df.dropna("any").withColumn("__finite", F.forall(F.array(*finite), lambda ok: ok))
     needed = dict.fromkeys([*identity, ts, *columns, target, regime])
     # Computed once and stored by regime: every fit passes over its rows many times.
-    usable = settle(complete.select(*needed), by=(regime,))
-    sizes = {r[regime]: r["count"] for r in usable.groupBy(regime).count().collect()}
+    usable = settle(complete.select(*needed, "__finite"), by=(regime,))
+    counts = usable.groupBy(regime).agg(F.count_if("__finite").alias("n"), F.count_if(~F.col("__finite")).alias("out")).collect()
+    sizes, left_out = {r[regime]: r["n"] for r in counts}, {r[regime]: r["out"] for r in counts}
     trained = Trained()
     for k in sorted(sizes):
         if sizes[k] < minimum:
             continue
-        rows = usable.where(F.col(regime) == k).drop(regime)
+        rows = usable.where((F.col(regime) == k) & F.col("__finite")).drop(regime, "__finite")
         train, test = (
             split_by_time(rows, ts, settings.test_share)
             if split == "temporal"
@@ -146,7 +147,7 @@ def train_regimes(
             stored = f"{path}/regime_{k}_{name}"
             save_regressor(df.sparkSession, model, stored)
         trained.models[k], trained.names[k] = model, name
-        trained.results.append((int(k), name, int(sizes[k]), e["mae"], e["rmse"], stored))
+        trained.results.append((int(k), name, int(sizes[k]), int(left_out[k]), e["mae"], e["rmse"], stored))
         if runs_path:
             metrics = {"mae": e["mae"] or 0.0, "rmse": e["rmse"] or 0.0}
             kind = "network" if name == "neural" else "trees"
@@ -157,9 +158,9 @@ def train_regimes(
 
 
 def result_table(spark, trained: Trained) -> DataFrame:
-    """One row per trained regime."""
+    """One row per trained regime; ``n_left_out`` rows had infinite features."""
     return spark.createDataFrame(
-        trained.results, "regime_id int, model_name string, n_samples long, mae double, rmse double, model_path string"
+        trained.results, "regime_id int, model_name string, n_samples long, n_left_out long, mae double, rmse double, model_path string"
     )
 
 
