@@ -354,9 +354,13 @@ def segments(texts: DataFrame, copies, sides: Broadcast, length: int, k: int) ->
                     else:
                         least[digest] = doc
                         made.append(own)
+                # What is settled needs no bucket; it is dealt out evenly instead of by its anchor.
+                done = np.array([m is None for m in made])
+                spread = mix64(piece.column("hr").to_numpy().view(np.uint64)[row] + start.astype(np.uint64))
+                bucket = np.where(done, spread, found.hash[keep])
                 picked = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.hash[keep].view(np.int64)), *[piece.column(n).take(picked) for n in ("doc", "t1", "t2")],
+                    [pa.array(bucket.view(np.int64)), *[piece.column(n).take(picked) for n in ("doc", "t1", "t2")],
                      pa.array((start - offsets[row]).astype(np.int32)), pa.array((count + length - 1).astype(np.int32)),
                      pa.array(made, pa.binary())], names=SEGMENT.names,
                 )
