@@ -1,7 +1,9 @@
 """Format-preserving pseudonyms of personal data, with built-in SQL functions only.
 
 One pattern finds candidates; each is validated (check digits, octets, calendar, number plans) and replaced by
-another valid value of its format. Numbers and dates go through a keyed Feistel network over exactly the domain of
+another valid value of its format. What stands beside a value does not hide it: a phone number ends where its length
+does, an IBAN where its country's does, and in a run of digit groups that is no card number as a whole the shorter
+runs of groups are tried (all but the last of three digits at least). Numbers and dates go through a keyed Feistel network over exactly the domain of
 their format: two parts in turn get a keyed digest of the other one added, modulo the part's size. That is a
 permutation, so equal values become equal pseudonyms in every document and different values stay different. Check
 digits are computed anew. E-mail names and secrets have no such domain; their characters are replaced, class by
@@ -31,18 +33,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+# IBAN lengths of the registry; a country that is not listed may have any.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG YE",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBANS = "(?:" + "|".join(
+    f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, c in IBAN_LENGTHS.items()
+) + ")(?![A-Za-z0-9])"
+# What ends a run of digit groups: a card number (for phones), or a value of another kind.
+_CARD = r"[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9])|[0-9]{4}[ -]?[0-9]{6}[ -]?[0-9]{4,5}(?![0-9])"
+_OTHER = (
+    r"(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2})(?![0-9-])"
+    r"|[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}(?![0-9])"
+)
+
+
+def _digits(least: int, most: int) -> str:
+    """Digits of a phone number, in groups of two or more; none starts a card number or another value."""
+    return f"(?:(?:(?! (?:{_CARD}|{_OTHER}))[ .-](?=[0-9]{{2}}))?[0-9]){{{least},{most}}}"
+
+
 # Kinds in the order in which one place is tried. No pattern backtracks over more than one word.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     # The only capture but one: it tells secrets, which may look like anything, from the rest.
-    "secret": r"((?:(?<=token = \")|(?<=token=)|(?<=password=)|(?<=secret=)|(?<=api_key=))[A-Za-z0-9]{12,128}+"
+    "secret": r"((?:(?<=token = \")|(?<=token=)|(?<=password=)|(?<=secret=)|(?<=api_key=))[A-Za-z0-9]{12,}+"
     r"|(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9]))",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "phone": r"(?<![A-Za-z0-9+])\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,12}){1,6}(?![0-9])",
+    "iban": r"(?<![A-Za-z0-9])(?:" + _IBANS + r"|(?!" + _IBANS + r")[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))",
+    "phone": r"(?<![A-Za-z0-9+])\+(?:[0-9]{1,3}(?=[ .(-])(?:" + _digits(7, 12) + "|"
+    + "|".join(rf"[ .-]?\([0-9]{{{n}}}\)" + _digits(7 - n, 12 - n) for n in range(1, 5))
+    + r")|(?:1(?=[0-9]{3})|[02-9][0-9](?=[0-9]{2}))" + _digits(7, 12) + r")(?![0-9])",
     "ip": r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![A-Za-z0-9]|\.[0-9])",
-    "date": r"(?<![A-Za-z0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([./])[0-9]{1,2}\2[0-9]{4})(?![A-Za-z0-9/-]|\.[0-9])",
+    "date": r"(?<![A-Za-z0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?:(?=T[0-9])|(?![A-Za-z0-9/-]|\.[0-9]))"
+    r"|[0-9]{1,2}([./])[0-9]{1,2}\2[0-9]{4}(?![A-Za-z0-9/-]|\.[0-9]))",
     "ssn": r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])",
-    "card": r"(?<![A-Za-z0-9.-])[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9]|-[0-9])",
+    # All groups of digits that follow each other, up to one that starts another value.
+    "card": r"(?<![A-Za-z0-9.-])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?![A-Za-z0-9])(?:(?:-| (?!" + _OTHER + r"))[0-9]++(?![A-Za-z0-9]))*+",
 }
 KINDS = tuple(PATTERNS)
 # What tells the kinds of a match apart, taken by itself.
@@ -233,11 +263,51 @@ class Pseudonyms:
         )
         return valid, self.let("y", year, self.let("t", moved, shown))
 
-    def kind(self) -> str:
-        """The kind of a match ``m``, which a secret fills ``secret`` with; 'none' if it is not valid."""
-        cases = ["when secret <> '' then 'secret'"]
-        cases += [f"when m rlike {_sql('^(?:' + s + ')$')} and {getattr(self, k)()[0]} then '{k}'" for k, s in SHAPES.items()]
-        return f"case {' '.join(cases)} else 'none' end"
+    def parts(self) -> str:
+        """A match ``m``, which a secret fills ``secret`` with, cut into values and what lies between: ``m`` and ``kind`` ('none')."""
+        one = lambda kind: f"array(named_struct('m', m, 'kind', '{kind}'))"
+        cases = [f"when secret <> '' then {one('secret')}"]
+        for k, s in SHAPES.items():
+            if k != "card":
+                cases.append(f"when m rlike {_sql('^(?:' + s + ')$')} and {getattr(self, k)()[0]} then {one(k)}")
+        # A word of capitals after an IBAN of an unlisted country, or digits behind what only looks like one.
+        tail = "regexp_extract(m, r'^(.*) [A-Z0-9]+$', 1)"
+        head = self.let("m", tail, f"if(m <> '' and {self.iban()[0]}, m, '')")
+        shorter = self.let("h", head, f"if(h = '', {self.cards()}, array(named_struct('m', h, 'kind', 'iban'), named_struct('m', substr(m, length(h) + 1), 'kind', 'none')))")
+        cases.append(f"when m rlike {_sql('^(?:' + SHAPES['iban'] + ')$')} then {shorter}")
+        cases.append(f"when m rlike {_sql('^(?:' + SHAPES['card'] + ')$')} then {self.cards()}")
+        return f"case {' '.join(cases)} else {one('none')} end"
+
+    def cards(self) -> str:
+        """Card numbers in the groups of ``m``: all of it, or runs of groups, those of 16, 15 and 19 digits first."""
+        digits = "array_join(slice(g, i, j - i + 1), '')"
+        # Groups i to j; all but the last of a shorter run have three digits or more.
+        fits = (
+            f"((i = 1 and j = size(g)) or forall(slice(g, i, j - i), x -> length(x) >= 3)) and {digits} rlike '^[0-9]{{13,19}}$'"
+            f" and {self.luhn(digits)} % 10 = 0"
+        )
+        rank = f"if(i = 1 and j = size(g), 0, array_position(array(16, 15, 19, 14, 13, 18, 17), length({digits})))"
+        best = (
+            f"transform(sequence(1, size(g)), i -> array_min(transform(filter(sequence(i, least(i + 18, size(g))), j -> {fits}),"
+            f" j -> named_struct('rank', {rank}, 'j', j))))"
+        )
+        # From left to right, unless a better run starts inside.
+        taken = (
+            "aggregate(sequence(1, size(g)), named_struct('next', 1, 'w', cast(array() as array<struct<i: int, j: int>>)),"
+            " (s, i) -> if(i >= s.next and b[i - 1] is not null and not exists(slice(b, i + 1, greatest(b[i - 1].j - i, 0)), x -> coalesce(x.rank < b[i - 1].rank, false)),"
+            " named_struct('next', b[i - 1].j + 1, 'w', array_append(s.w, named_struct('i', i, 'j', b[i - 1].j))), s), s -> s.w)"
+        )
+        # Places in m: a group starts after those before it and a separator for each.
+        start = lambda k: f"length(array_join(slice(g, 1, {k} - 1), ' ')) + if({k} > 1, 2, 1)"
+        stop = "length(array_join(slice(g, 1, x.j), ' ')) + 1"
+        placed = f"transform({taken}, x -> named_struct('a', {start('x.i')}, 'b', {stop}))"
+        pieces = (
+            "flatten(transform(p, (x, k) -> array("
+            "named_struct('m', substr(m, if(k = 0, 1, p[k - 1].b), x.a - if(k = 0, 1, p[k - 1].b)), 'kind', 'none'),"
+            " named_struct('m', substr(m, x.a, x.b - x.a), 'kind', 'card'))))"
+        )
+        rest = "array(named_struct('m', substr(m, if(size(p) = 0, 1, p[size(p) - 1].b)), 'kind', 'none'))"
+        return self.let("g", "split(m, '[ -]', -1)", self.let("b", best, self.let("p", placed, f"concat({pieces}, {rest})")))
 
     def replaced(self) -> str:
         """The pseudonym of a match ``x.m`` of kind ``x.kind``."""
@@ -254,19 +324,19 @@ def pseudonymise(df: DataFrame, key: str, text: str = "text", found: str = "foun
     pattern = _sql(_pattern())
     # Most texts have neither digits nor "@"; only the others are searched. A dummy keeps both arrays aligned.
     column = f"`{text}`"
-    maybe = f"{column} rlike '[0-9@]|token|password|secret|api_key'"
+    maybe = f"{column} rlike '[0-9@]|token|password|secret|api_key|AKIA'"
     matches = F.expr(
         f"if({maybe}, zip_with(regexp_extract_all({column}, {pattern}, 0), regexp_extract_all({column}, {pattern}, 1),"
-        f" (m, secret) -> named_struct('m', m, 'kind', {maker.kind()})), array())"
+        f" (m, secret) -> {maker.parts()}), array())"
     )
     pieces = F.expr(f"if({maybe}, split({column}, {pattern}, -1), array({column}))")
     staged = df.withColumn("__matches", matches).withColumn("__pieces", pieces)
     joined = F.expr(
-        "concat(__pieces[0], array_join(transform(__matches, (x, k) -> concat("
-        + maker.replaced() + ", __pieces[k + 1])), ''))"
+        "concat(__pieces[0], array_join(transform(__matches, (y, k) -> concat(array_join(transform(y, x -> "
+        + maker.replaced() + "), ''), __pieces[k + 1])), ''))"
     )
     hit = F.expr("size(__matches) > 0")
-    kinds = F.expr("filter(transform(__matches, x -> x.kind), k -> k <> 'none')")
+    kinds = F.expr("filter(transform(flatten(__matches), x -> x.kind), k -> k <> 'none')")
     return (
         staged.withColumn(text, F.when(hit, joined).otherwise(F.col(text)))
         .withColumn(found, F.coalesce(kinds, F.array().cast("array<string>")))
