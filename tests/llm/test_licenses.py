@@ -53,6 +53,21 @@ def test_odd_rows(spark):
     assert by[8].score == 1.0
 
 
+def filled(template):
+    return re.sub(r'<<var;.*?original="(.*?)".*?>>', r"\1", re.sub("<<(begin|end)Optional>>", "", template), flags=re.S)
+
+
+def test_whole_licenses_only(spark):
+    start, ads, names, end = map(filled, (licenses.BSD_START, licenses.BSD_ADVERTISING, licenses.BSD_NAMES, licenses.BSD_END))
+    mit = filled(licenses.MIT_NOTICE)
+    texts = [start + end, start + names + end, start + ads + names + end, start, start + names, start + end[:-20], mit, mit[:-20],
+             mit[: mit.index("THE SOFTWARE IS")], mit[: mit.index("IN NO EVENT")]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = licenses.scan(df).orderBy("doc_id").collect()
+    assert [r.labels for r in rows] == ["bsd-2", "bsd-3", "bsd-4", "", "", "", "mit", "", "", ""]
+    assert [r.score == 1.0 for r in rows[:3]] == [True] * 3
+
+
 def test_empty_table(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -38,13 +38,41 @@ and associated documentation files";match="this software and associated document
 merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is
 furnished to do so, subject to the following conditions: The above copyright notice and this permission notice
 <<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or substantial portions of
-the Software. <<beginOptional>>THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING
-BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.<<endOptional>>
+the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING
+BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+<<var;name="holders";original="THE AUTHORS OR COPYRIGHT HOLDERS";match=".{0,20}">> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE
+USE OR OTHER DEALINGS IN THE SOFTWARE.
+"""
+BSD_MARK = '<<var;name="mark";original="1.";match=".{0,2}">>'
+BSD_START = f"""
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: {BSD_MARK} Redistributions of source code must retain the above copyright notice, this list of conditions
+and the following disclaimer. {BSD_MARK} Redistributions in binary form must reproduce the above copyright notice, this list of
+conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+BSD_ADVERTISING = f"""
+{BSD_MARK} All advertising materials mentioning features or use of this software must display the following acknowledgement:
+This product includes software developed by <<var;name="organization";original="the organization";match=".{{1,20}}">>
+"""
+BSD_NAMES = f"""
+{BSD_MARK} Neither the name of <<var;name="organization";original="the copyright holder";match=".{{1,20}}">> nor the names of
+<<var;name="its";original="its";match="its|their">> contributors may be used to endorse or promote products derived from this
+software without specific prior written permission.
+"""
+BSD_END = """
+THIS SOFTWARE IS PROVIDED BY <<var;name="by";original="THE COPYRIGHT HOLDERS AND CONTRIBUTORS";match=".{1,20}">> "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<var;name="holder";original="THE COPYRIGHT HOLDER OR CONTRIBUTORS";match=".{1,20}">>
+BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY
+THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
 """
 WORK = '<<var;name="work";original="work";match="work|program|software|library|file|project|document">>'
 GRANT = '<<var;name="grant";original="licensed";match="licensed|released|distributed|published|available">>'
 TERMS = "<<beginOptional>>the terms of<<endOptional>>"
-# Templates by label: notices as they stand in files and pages, and the full text of the shortest license.
+# Templates by label: notices as they stand in files and pages, and the full texts of MIT and the BSD licenses.
 TEMPLATES = {
     "mit": [MIT_NOTICE, f"{GRANT} under {TERMS} the <<beginOptional>>Expat<<endOptional>> MIT License"],
     "apache-2": [
@@ -65,11 +93,9 @@ TEMPLATES = {
     "cc-by": [
         f'{GRANT} under <<var;name="article";original="";match=".{{0,4}}">> CC BY <<var;name="version";original="4.0";match="1.0|2.0|2.5|3.0|4.0">>'
     ],
-    "bsd-3": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the"
-        " following conditions are met: <<var;name=\"mark\";original=\"1.\";match=\".{0,2}\">> Redistributions of source code must"
-        " retain the above copyright notice, this list of conditions and the following disclaimer."
-    ],
+    "bsd-2": [BSD_START + BSD_END],
+    "bsd-3": [BSD_START + BSD_NAMES + BSD_END],
+    "bsd-4": [BSD_START + BSD_ADVERTISING + BSD_NAMES + BSD_END],
 }
 PHRASES = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
 
