@@ -67,3 +67,14 @@ def test_missing_id_is_neither_held_out_nor_learned(spark):
     df = spark.createDataFrame([(None, "a", "en"), (1, "b", "en")], "doc_id long, text string, lang string")
     assert df.select(langid.held_out()).collect()[0][0] is False
     assert langid.learnable(df).where("doc_id is null").count() == 0
+
+
+def test_label_of_copies_keeps_its_centroid(spark):
+    copies = {"x1": "bcd", "x2": "fgh", "x3": "jkl"}
+    rows = [(f"{a * 3}{b} {b * 2}{a} ", name) for name, abc in copies.items() for a, b in zip(abc, abc[1:] + abc[0])]
+    few = spark.createDataFrame(rows, "text string, lang string").crossJoin(spark.range(3000).select())
+    ordinary = spark.range(1500).selectExpr("concat('mno pqr ', conv(id, 10, 2), ' st', id % 3) as text", "concat('o', id % 3) as lang")
+    model = langid.fit(few.unionByName(ordinary))
+    assert set(copies) <= set(model.languages)
+    got = langid.predict(few.distinct(), model, keep=("lang",)).collect()
+    assert len(got) == 9 and all(r.lang_pred == r.lang for r in got)

@@ -2,8 +2,8 @@
 
 Letters are lower-cased, everything else becomes a space, and the runs of two and three characters are hashed
 into a fixed number of features. Document frequencies are counted over all labelled rows. The centroids come from
-a bounded sample: at most ``SAMPLE_PER_LANGUAGE`` rows for each label on average, drawn evenly over the labels by
-a digest of the row. Every language gets several centroids (k-means by cosine), a document gets the language of
+a bounded sample: at most ``SAMPLE_PER_LANGUAGE`` distinct texts for each label on average, drawn evenly over the
+labels by a digest of the text, so that copies take no part in the draw. Every language gets several centroids (k-means by cosine), a document gets the language of
 the nearest one, and it is rejected if its cosine lies far below what that language's sample shows.
 
 Texts that are missing or hold no letter get ``und``, score 0, and are rejected; so does every text if there is
@@ -173,7 +173,11 @@ def fit(
         "label is not null and text is not null"
     )
     letters = Letters()
-    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    # Rows of each label and, by digest, its distinct texts; copies meet in their own task first.
+    alike = known.groupBy("label", F.xxhash64("text", "label").alias("digest")).agg(F.count("*").alias("n"))
+    counted = alike.groupBy("label").agg(F.sum("n").alias("n"), F.count("*").alias("texts"))
+    found = counted.limit(MAX_LANGUAGES + 1).collect()
+    sizes, texts = ({r["label"]: r[k] for r in found} for k in ("n", "texts"))
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} labels")
     if not sizes:
@@ -184,8 +188,8 @@ def fit(
         if r["feature"] >= 0:
             held[r["feature"]] = r["n"]
     idf = (np.log((1 + sum(sizes.values())) / (1 + held)) + 1).astype(np.float32)
-    # Each label's rows get even draws over its share of the sample; the smallest draws are taken.
-    size = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(float(n)))])
+    # The distinct texts of a label get even draws up to their number; the smallest draws are taken.
+    size = F.create_map(*[x for k, n in texts.items() for x in (F.lit(k), F.lit(float(n)))])
     draw = F.pmod(F.xxhash64("text", "label"), F.lit(1 << 40)) * size[F.col("label")] / (1 << 40)
     bound = sample_per_language * len(sizes)
     likely = known.withColumn("draw", draw).where(F.col("draw") <= 8.0 * sample_per_language)
