@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideshift.llm import bpe, langid, licenses, mixing, perplexity, pii, repeats, rotated_codes, simhash, urlfilter
+from tideshift.llm import (
+    alignment, bpe, langid, licenses, mixing, perplexity, pii, repeats, rotated_codes, simhash, urlfilter,
+)
 from tideshift.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -108,5 +110,17 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotated_codes.nearest(rows, F.col("vec_id") % 20 == 0)
 
 
-QUERIES = {"op7_neighbours": op7_neighbours, "op10_repeats": op10_repeats, "op8_licenses": op8_licenses, "op2_urls": op2_urls, "op5_mixing": op5_mixing, "op3_pii": op3_pii, "op1_quality": op1_quality, "op9_langid": op9_langid, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash}
+PIECE_TOKENIZER = "piece_bpe_32k.model"
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers, and how common the linked pairs are in all documents."""
+    made = alignment.load_tokenizers(public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECE_TOKENIZER))
+    rows = alignment.align(table(spark, sf_dir, "documents"), made)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    done = alignment.count_and_score(rows.withColumn("groups_sha256", digest).drop("groups"), made)
+    return done.select("doc_id", *alignment.COUNTS, "n_best", "count_sum", "groups_sha256")
+
+
+QUERIES = {"op7_neighbours": op7_neighbours, "op10_repeats": op10_repeats, "op8_licenses": op8_licenses, "op2_urls": op2_urls, "op5_mixing": op5_mixing, "op3_pii": op3_pii, "op1_quality": op1_quality, "op9_langid": op9_langid, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash, "op13_alignment": op13_alignment}
 ORACLE: dict[str, str] = {"op2_urls": OP2_SQL}
