@@ -196,10 +196,13 @@ def align(df: DataFrame, made: Tokenizers, text: str = "text", keep: Sequence[st
     fields = [(n, T.LongType()) for n in COUNTS] + [("groups", T.StringType()), ("pairs", T.BinaryType()), ("times", T.BinaryType())]
     schema = with_fields(df, keep, fields)
     kept = [f.name for f in schema.fields if f.name not in dict(fields)]
-    shared = df.sparkSession.sparkContext.broadcast(made)  # bounded by the tokenizers' size
+    # Plain values, bounded by the tokenizers' size.
+    shared = df.sparkSession.sparkContext.broadcast((made.a_file, (made.a.tokens, made.a.parts, made.a.ranks, made.a.special), made.b_file))
 
     def work():
-        one, two = ByteTokens(shared.value), PieceTokens(shared.value)
+        a_file, a, b_file = shared.value
+        made = Tokenizers(a_file, bpe.Vocabulary(*a), b_file)
+        one, two = ByteTokens(made), PieceTokens(made)
         size_b = len(two.decoder.offsets) - 1
         texts = GroupTexts(max(len(one.decoder.offsets) - 1, size_b))
 

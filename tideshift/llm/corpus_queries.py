@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideshift.llm import (
-    alignment, bpe, langid, licenses, mixing, perplexity, pii, repeats, rotated_codes, simhash, urlfilter,
+    alignment, bpe, langid, licenses, mixing, perplexity, pii, repeats, rotated_codes, simhash, toxicity, urlfilter,
 )
 from tideshift.llm.common import table
 
@@ -110,6 +110,16 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotated_codes.nearest(rows, F.col("vec_id") % 20 == 0)
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled ones that are not held out, and how many sentences offend."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    done = toxicity.judge(docs, toxicity.fit(docs, langid.learnable(labels)))
+    return done.select(
+        "doc_id", langid.held_out().alias("held_out"), "score", "predicted", "n_sentences",
+        F.size("offending").cast("long").alias("n_offending"),
+    )
+
+
 PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 
@@ -122,5 +132,5 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", *alignment.COUNTS, "n_best", "count_sum", "groups_sha256")
 
 
-QUERIES = {"op7_neighbours": op7_neighbours, "op10_repeats": op10_repeats, "op8_licenses": op8_licenses, "op2_urls": op2_urls, "op5_mixing": op5_mixing, "op3_pii": op3_pii, "op1_quality": op1_quality, "op9_langid": op9_langid, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash, "op13_alignment": op13_alignment}
+QUERIES = {"op7_neighbours": op7_neighbours, "op10_repeats": op10_repeats, "op8_licenses": op8_licenses, "op2_urls": op2_urls, "op5_mixing": op5_mixing, "op3_pii": op3_pii, "op1_quality": op1_quality, "op9_langid": op9_langid, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash, "op12_toxicity": op12_toxicity, "op13_alignment": op13_alignment}
 ORACLE: dict[str, str] = {"op2_urls": OP2_SQL}
