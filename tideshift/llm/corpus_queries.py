@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideshift.llm import (
-    alignment, bpe, langid, licenses, mixing, perplexity, pii, repeats, rotated_codes, simhash, toxicity, urlfilter,
+    alignment, bpe, collocations, langid, licenses, mixing, perplexity, pii, repeats, rotated_codes, simhash, toxicity, urlfilter,
 )
 from tideshift.llm.common import table
 
@@ -110,6 +110,61 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotated_codes.nearest(rows, F.col("vec_id") % 20 == 0)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2,000 phrases of two to four words of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = """
+WITH docs AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+), pieces AS (
+    SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A\x0B\x0C\x0D]')) AS piece FROM docs
+), runs AS (
+    SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), words AS (
+    SELECT lang, id, unnest(w) AS w1, generate_subscripts(w, 1) AS place FROM runs
+), followed AS (
+    SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4
+    FROM words WINDOW o AS (PARTITION BY id ORDER BY place)
+), grams AS (
+    SELECT lang, 1 AS k, w1 AS p FROM followed
+    UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM followed WHERE w2 IS NOT NULL
+    UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM followed WHERE w3 IS NOT NULL
+    UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM followed WHERE w4 IS NOT NULL
+), f AS (
+    SELECT lang, k, p, count(*) AS n FROM grams GROUP BY lang, k, p HAVING count(*) >= 30
+), totals AS (
+    SELECT lang, count(*) AS total FROM words GROUP BY lang
+), found AS (
+    SELECT lang, k, p, string_split(p, ' ') AS s, n FROM f WHERE k > 1
+), halves AS (
+    SELECT lang, p, n AS a, j, array_to_string(s[1:j], ' ') AS head, array_to_string(s[j + 1:k], ' ') AS tail
+    FROM found, (VALUES (1), (2), (3)) js(j) WHERE j < k
+), cuts AS (
+    SELECT h.lang, h.p, a, j, x.n AS l, y.n AS r, (2000000::HUGEINT * a) // (x.n + y.n) AS score
+    FROM halves h JOIN f x ON x.lang = h.lang AND x.p = h.head JOIN f y ON y.lang = h.lang AND y.p = h.tail
+), lowest AS (
+    SELECT lang, p, a, l, r, score FROM cuts
+    QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1
+), shorter AS (
+    SELECT lang, n, array_to_string(s[i:i + j - 1], ' ') AS p
+    FROM found, (VALUES (2), (3)) js(j), (VALUES (1), (2), (3)) starts(i) WHERE j < k AND i + j - 1 <= k
+), gone AS (
+    SELECT DISTINCT s.lang, s.p FROM shorter s JOIN found c ON c.lang = s.lang AND c.p = s.p WHERE 100 * s.n >= 80 * c.n
+), kept AS (
+    SELECT x.lang, x.p AS phrase, a, l, r, score
+    FROM lowest x ANTI JOIN gone g ON g.lang = x.lang AND g.p = x.p
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, total::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled ones that are not held out, and how many sentences offend."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -132,5 +187,5 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", *alignment.COUNTS, "n_best", "count_sum", "groups_sha256")
 
 
-QUERIES = {"op7_neighbours": op7_neighbours, "op10_repeats": op10_repeats, "op8_licenses": op8_licenses, "op2_urls": op2_urls, "op5_mixing": op5_mixing, "op3_pii": op3_pii, "op1_quality": op1_quality, "op9_langid": op9_langid, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash, "op12_toxicity": op12_toxicity, "op13_alignment": op13_alignment}
-ORACLE: dict[str, str] = {"op2_urls": OP2_SQL}
+QUERIES = {"op7_neighbours": op7_neighbours, "op10_repeats": op10_repeats, "op8_licenses": op8_licenses, "op2_urls": op2_urls, "op5_mixing": op5_mixing, "op3_pii": op3_pii, "op1_quality": op1_quality, "op9_langid": op9_langid, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash, "op11_collocations": op11_collocations, "op12_toxicity": op12_toxicity, "op13_alignment": op13_alignment}
+ORACLE: dict[str, str] = {"op2_urls": OP2_SQL, "op11_collocations": OP11_SQL}
