@@ -67,10 +67,10 @@ ODD = (
 )
 
 
-@pytest.mark.parametrize("max_words", [10**6, 0])
-def test_odd_rows_by_definition(spark, max_words):
+@pytest.mark.parametrize(("max_words", "pair_bits"), [(10**6, 30), (0, 16)])
+def test_odd_rows_by_definition(spark, max_words, pair_bits):
     df = spark.createDataFrame([(t, lang, 1) for t, lang in ODD], "text string, lang string, score int").repartition(5)
-    got = rows_of(collocations.collocations(df, least=2, top=5, max_words=max_words))
+    got = rows_of(collocations.collocations(df, least=2, top=5, max_words=max_words, pair_bits=pair_bits))
     assert got == plain(ODD, 2, 5)
     assert {r[0] for r in got} == {"und", "en", "xx", "zz"}
 
@@ -87,6 +87,13 @@ def test_one_pair_starts_everything(spark):
     assert rows_of(collocations.collocations(words, least=4, top=900)) == plain(rows, 4, 900)
 
 
+def test_full_table_of_pairs_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(collocations.PairBits, "has", lambda self, digests: digests == digests)
+    rows = [("a b c a b d " * 3, "en"), ("a b c", "en"), ("b d", "en")]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    assert rows_of(collocations.collocations(df, least=2, top=50)) == plain(rows, 2, 50)
+
+
 def test_counts_beyond_64_bits():
     import numpy as np
 

@@ -2,7 +2,8 @@
 
 1. ``count_words`` counts the words of each language and gives every (language, word) its symbol, a 64-bit digest; should two words
    meet in one symbol, all symbols are made anew with the next seed. Only words that occur often enough go on: no frequent
-   phrase holds another one.
+   phrase holds another one. ``frequent_pairs`` does the same for pairs of neighbouring words, by digest: runs of words end where
+   a pair is rare. Its table of bits has a bounded size; a full one lets more n-grams through and changes no result.
 2. ``shards``: each task turns its texts into sorted n-grams of one to four words, slice by slice, and adds them up; what it holds is cut
    at fixed bounds into prefix ranges and sent as minimal automata. The bounds come from n-grams of a sample of documents; they
    only decide how evenly the work is spread. A bound is a whole n-gram, so even one pair of words that starts a third of all n-grams is divided.
@@ -38,8 +39,11 @@ SCALE = 2_000_000
 INSIDE_SHARE = (100, 80)  # a phrase goes if 100 * f(longer) >= 80 * f(phrase)
 UNDETERMINED = "und"
 MAX_WORDS = 8_000_000  # frequent words that are sent to the tasks (8 bytes each); beyond it no word is left out early
+PAIR_BITS = 30  # logarithm of the largest table of frequent pairs, in bits (128 MB)
+BITS_PER_PAIR = 16
+HELD_PAIRS = 1_000_000
 HELD_NODES = 2_000_000  # n-grams that a task adds up before it sends them on
-WORDS_PER_RANGE = 4_000_000
+WORDS_PER_RANGE = 2_000_000
 MAX_RANGES = 1_000_000
 SAMPLE_WORDS = 1_000_000
 KEYS_PER_RANGE = 64
@@ -137,8 +141,20 @@ def keeps(symbols: np.ndarray | None) -> Callable[[np.ndarray], np.ndarray]:
     return lambda wanted: symbols[np.minimum(np.searchsorted(symbols, wanted), len(symbols) - 1)] == wanted
 
 
-def grams_of(batch: pa.RecordBatch, seed: int, kept: Callable[[np.ndarray], np.ndarray]) -> ca.Grams:
-    """All n-grams of kept words within the pieces of a batch."""
+@dataclass(frozen=True)
+class PairBits:
+    """One bit for each leading part of a digest: whether a frequent pair has it."""
+
+    bits: int
+    table: np.ndarray
+
+    def has(self, digests: np.ndarray) -> np.ndarray:
+        at = digests >> np.uint64(64 - self.bits)
+        return (self.table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def runs_of(batch: pa.RecordBatch, seed: int, kept: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted symbols of the kept words of a batch, the words as indices into them, and where runs within pieces begin."""
     found = read_words(batch, seed)
     used = kept(found.symbols)
     at = np.flatnonzero(used[found.word]) if len(found.word) else np.zeros(0, np.int64)
@@ -148,13 +164,85 @@ def grams_of(batch: pa.RecordBatch, seed: int, kept: Callable[[np.ndarray], np.n
     index[order] = np.arange(len(order))
     piece = found.piece[at]
     breaks = np.append(True, (np.diff(at) > 1) | (np.diff(piece) != 0))[: len(at)]
-    return ca.from_runs(found.symbols[order], index[found.word[at]], np.cumsum(breaks))
+    return found.symbols[order], index[found.word[at]], breaks
+
+
+def pairs_in(symbols: np.ndarray, word: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Second words of the neighbours within runs; digests of the distinct pairs, which each is, and how often they occur."""
+    at = np.flatnonzero(~breaks)
+    keys, which, n = np.unique(word[at - 1] * max(len(symbols), 1) + word[at], return_inverse=True, return_counts=True)
+    first, second = (symbols[k] for k in np.divmod(keys, max(len(symbols), 1)))
+    return at, mix64(mix64(first) + second), which.reshape(-1), n
+
+
+def grams_of(batch: pa.RecordBatch, seed: int, kept: Callable[[np.ndarray], np.ndarray], pairs: PairBits) -> ca.Grams:
+    """All n-grams of kept words and kept pairs within the pieces of a batch, and the kept words themselves."""
+    symbols, word, breaks = runs_of(batch, seed, kept)
+    at, digests, which, _ = pairs_in(symbols, word, breaks)
+    breaks = breaks.copy()
+    breaks[at] = ~pairs.has(digests)[which]
+    return ca.from_runs(symbols, word, np.cumsum(breaks))
+
+
+def frequent_pairs(df: DataFrame, seed: int, sent, least: int, most_bits: int = PAIR_BITS) -> PairBits:
+    """Which neighbouring words occur together at least ``least`` times; a few others may pass."""
+    bounded_batches(df.sparkSession)
+    schema = T.StructType([T.StructField("pair", T.LongType()), T.StructField("n", T.LongType())])
+
+    def added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        pair, n = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(pair)
+        pair, n = pair[order], n[order]
+        first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])[: len(pair)])
+        return pair[first], np.add.reduceat(n, first) if len(first) else n
+
+    def rows(made: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(made[0].view(np.int64)), pa.array(made[1])], names=schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, held, waiting, last = None, [], 0, 0
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                kept = kept or keeps(sent.value)
+                _, digests, _, n = pairs_in(*runs_of(piece, seed, kept))
+                held.append((digests, n))
+                waiting += len(n)
+                if waiting > last + HELD_PAIRS:
+                    held = [added(held)]
+                    waiting = last = len(held[0][1])
+                    if waiting > 2 * HELD_PAIRS:
+                        yield rows(held[0])
+                        held, waiting, last = [], 0, 0
+        if held:
+            yield rows(added(held))
+
+    often = settle(df.mapInArrow(run, schema).groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("pair"))
+    bits = min(most_bits, max(16, (often.count() * BITS_PER_PAIR).bit_length()))
+    part_bits = min(bits, 15)  # the table is made in parts of 4 KB at least
+    digest = T.StructType([T.StructField("part", T.LongType()), T.StructField("bytes", T.BinaryType())])
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, held in groups(batches, "part"):
+            table = np.zeros(1 << part_bits, bool)
+            for batch in held:
+                at = batch.column("pair").to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+                table[(at & np.uint64((1 << part_bits) - 1)).astype(np.int64)] = True
+            packed = np.packbits(table, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([packed], pa.binary())], names=digest.names)
+
+    part = F.shiftrightunsigned("pair", 64 - bits + part_bits) if bits > part_bits else F.lit(0)
+    placed = often.select(part.cast("long").alias("part"), "pair").repartition("part").sortWithinPartitions("part")
+    table = np.zeros(1 << (bits - 3), np.uint8)
+    size = 1 << (part_bits - 3)
+    for r in placed.mapInArrow(parts, digest).collect():  # at most 1 << (PAIR_BITS - 3) bytes
+        table[r["part"] * size : (r["part"] + 1) * size] = np.frombuffer(r["bytes"], np.uint8)
+    return PairBits(bits, table)
 
 
 RANGES = T.StructType([T.StructField("range", T.LongType()), T.StructField("automaton", T.BinaryType())])
 
 
-def bounds_of(df: DataFrame, seed: int, words: int, ranges: int, sent) -> np.ndarray:
+def bounds_of(df: DataFrame, seed: int, words: int, ranges: int, sent, pairs) -> np.ndarray:
     """Sorted bounds of prefix ranges with about equally many n-grams, from a sample of the documents."""
     wanted = max(SAMPLE_WORDS, 4 * KEYS_PER_RANGE * ranges)
     rate = min(1.0, wanted / max(words, 1))
@@ -166,7 +254,7 @@ def bounds_of(df: DataFrame, seed: int, words: int, ranges: int, sent) -> np.nda
         kept = keeps(sent.value)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            grams = grams_of(batch, seed, kept)
+            grams = grams_of(batch, seed, kept, PairBits(*pairs.value))
             chosen = [grams.sequences(k + 1, np.flatnonzero(h % every == 0)) for k, h in enumerate(grams.hashes())]
             keys = np.concatenate(chosen).view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(keys[:, k].copy()) for k in range(ca.LONGEST)], names=NAMES)
@@ -181,7 +269,7 @@ def bounds_of(df: DataFrame, seed: int, words: int, ranges: int, sent) -> np.nda
     return np.unique(keys[np.arange(1, ranges) * len(keys) // ranges], axis=0)
 
 
-def shards(df: DataFrame, seed: int, sent, bounds) -> DataFrame:
+def shards(df: DataFrame, seed: int, sent, pairs, bounds) -> DataFrame:
     """Automata of each task's n-grams, cut into prefix ranges."""
     bounded_batches(df.sparkSession)
 
@@ -196,7 +284,7 @@ def shards(df: DataFrame, seed: int, sent, bounds) -> DataFrame:
         for batch in batches:
             for piece in slices(batch, "text"):
                 kept = kept or keeps(sent.value)
-                held.append(grams_of(piece, seed, kept))
+                held.append(grams_of(piece, seed, kept, PairBits(*pairs.value)))
                 nodes += len(held[-1])
                 if nodes > last + HELD_NODES:
                     held = [ca.union(held)]
@@ -410,8 +498,9 @@ def rank(found: DataFrame, words: DataFrame, top: int) -> DataFrame:
 
 
 def collocations(
-    df: DataFrame, text: str = "text", lang: str = "lang", least: int = MIN_COUNT, top: int = TOP, max_words: int = MAX_WORDS
-) -> DataFrame:
+    df: DataFrame, text: str = "text", lang: str = "lang", least: int = MIN_COUNT, top: int = TOP,
+    max_words: int = MAX_WORDS, pair_bits: int = PAIR_BITS,
+) -> DataFrame:
     """``lang``, ``rank``, ``phrase``, ``a`` (its count), ``l`` and ``r`` (counts of both parts), ``n`` (words of the language), ``score``."""
     spark = df.sparkSession
     df, width = prepared(df, text, lang), shuffle_partitions(spark)
@@ -422,8 +511,10 @@ def collocations(
     few = often.limit(max_words + 1).count() <= max_words
     symbols = np.sort(often.select("symbol").toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64)) if few else None
     sent = spark.sparkContext.broadcast(symbols)  # at most max_words numbers
+    bits = frequent_pairs(df, seed, sent, least, pair_bits)
+    pairs = spark.sparkContext.broadcast((bits.bits, bits.table))  # at most 2 ** pair_bits bits
     ranges = int(min(MAX_RANGES, max(width, words // WORDS_PER_RANGE)))
-    bounds = spark.sparkContext.broadcast(bounds_of(df, seed, words, ranges, sent))  # at most MAX_RANGES n-grams
-    automata = settle(frequent(shards(df, seed, sent, bounds), least, width))
+    bounds = spark.sparkContext.broadcast(bounds_of(df, seed, words, ranges, sent, pairs))  # at most MAX_RANGES n-grams
+    automata = settle(frequent(shards(df, seed, sent, pairs, bounds), least, width))
     found = settle(scored(automata, bounds, width))
     return rank(found, often.join(totals, "lang"), top)
