@@ -106,3 +106,46 @@ def test_model_survives_storage(spark, tmp_path):
     assert back.columns == MODEL.columns
     for name in ("start", "transitions", "means", "variances"):
         np.testing.assert_array_equal(getattr(back, name), getattr(MODEL, name))
+
+
+def long_frame(spark):
+    frames = [simulate(n, seed=n, series=n) for n in (1, 9, 40, 173)]
+    return spark.createDataFrame(pd.concat(frames).drop(columns="state"))
+
+
+@pytest.mark.parametrize("block_rows", [20, 1000])
+def test_rounds_in_one_stage_equal_rounds_as_jobs(spark, monkeypatch, block_rows):
+    blocks = hmm.pack(long_frame(spark), ("x", "y"), ["series"], block_rows=block_rows)
+    begin = hmm.HmmModel(MODEL.columns, MODEL.start, MODEL.transitions, MODEL.means + 0.3, MODEL.variances)
+    if block_rows == 20:  # series that do not fit into a task
+        monkeypatch.setattr(hmm, "TASK_VALUES", 60)
+    one = hmm.fit(None, ("x", "y"), blocks=blocks, start_from=begin, n_iter=2, tol=-1.0, one_stage=True)
+    jobs = hmm.fit(None, ("x", "y"), blocks=blocks, start_from=begin, n_iter=2, tol=-1.0, one_stage=False)
+    assert len(one.trace) == 2 and np.allclose(one.trace, jobs.trace) and np.isclose(one.log_likelihood, jobs.log_likelihood)
+    for name in ("start", "transitions", "means", "variances"):
+        assert np.allclose(getattr(one, name), getattr(jobs, name))
+
+
+def test_stages_go_on_from_the_last_model(spark, monkeypatch):
+    blocks = hmm.pack(long_frame(spark), ("x", "y"), ["series"], block_rows=50)
+    whole = hmm.fit(None, ("x", "y"), blocks=blocks, start_from=MODEL, n_iter=6)
+    monkeypatch.setattr(hmm, "STAGE_ROUNDS", 1 + len(whole.trace) // 2)
+    parts = hmm.fit(None, ("x", "y"), blocks=blocks, start_from=MODEL, n_iter=6)
+    assert len(whole.trace) == len(parts.trace) and np.allclose(whole.trace, parts.trace)
+    assert np.isclose(whole.log_likelihood, parts.log_likelihood)
+
+
+def test_a_lost_task_costs_the_stage_only(spark, tmp_path):
+    blocks = hmm.pack(long_frame(spark), ("x", "y"), ["series"], block_rows=50)
+    mark = str(tmp_path / "failed")
+
+    def probe(turn: int) -> None:
+        import os
+
+        if turn == 1 and not os.path.exists(mark):
+            open(mark, "w").close()
+            raise RuntimeError("lost")
+
+    again = hmm._rounds_in_stage(blocks, MODEL, 3, -1.0, None, hmm.stage_tasks(blocks), probe)
+    plain = hmm._rounds_in_stage(blocks, MODEL, 3, -1.0, None, hmm.stage_tasks(blocks))
+    assert np.allclose(again[1], plain[1]) and len(again[1]) == 3

@@ -4,15 +4,22 @@ Rows are packed once into blocks of bounded length and stored; every pass over t
 ``mapInPandas``. Within a block, all blocks of a batch advance together. A series longer than a block is
 stitched exactly: a block's effect on the state weights is a small matrix, and the products of these
 matrices along the series give what enters each block from the left and from the right.
+
+A fit whose blocks fit into the memory of the tasks runs its rounds inside one barrier stage: the tasks keep their blocks, exchange
+sums of a few hundred bytes after each round and all make the same next model. Otherwise each round is a job.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import base64
+import json
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import BarrierTaskContext
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +43,9 @@ BLOCK_ROWS = 4096
 FAN = 4096
 BATCH_VALUES = 4_000_000
 BROADCAST_BLOCKS = 200_000
+STAGE_BLOCK_ROWS = 256  # short blocks: a task advances many side by side
+TASK_VALUES = 32_000_000  # feature values that one task of a barrier stage keeps (256 MB)
+STAGE_ROUNDS = 50  # rounds of one barrier stage; a lost executor costs these at most
 
 
 @dataclass(frozen=True)
@@ -63,6 +73,8 @@ class Blocks:
     columns: tuple[str, ...]
     longest: int
     stitched: int
+    count: int = 0
+    values: int = 0  # feature values in all blocks
 
 
 def pack(
@@ -96,8 +108,9 @@ def pack(
             F.flatten(F.transform("__rows_in", lambda r: r["__x"])).alias("xs"),
         )
     )
-    sizes = packed.agg(F.max("n_blocks"), F.count_if(F.col("n_blocks") > 1)).collect()[0]
-    return Blocks(packed, keys, place, tuple(columns), int(sizes[0] or 0), int(sizes[1]))
+    long_ones = F.count_if(F.col("n_blocks") > 1)
+    sizes = packed.agg(F.max("n_blocks"), long_ones, F.count(F.lit(1)), F.sum(F.size("xs").cast("long"))).collect()[0]
+    return Blocks(packed, keys, place, tuple(columns), *(int(x or 0) for x in sizes))
 
 
 # ---- arithmetic on a batch of blocks ----------------------------------------------------------
@@ -266,19 +279,23 @@ def _multiply(m: np.ndarray, step: np.ndarray, best: bool) -> np.ndarray:
     return out - np.where(np.isfinite(top), top, 0.0)
 
 
+def _matrices(x: np.ndarray, n: np.ndarray, starts: np.ndarray, model: HmmModel, best: bool) -> np.ndarray:
+    """What each block does to the log weights that enter it."""
+    k, a = model.n_regimes, _logs(model.transitions)
+    b = _log_density(x, model)
+    b -= b.max(-1, keepdims=True)
+    unit = np.full((k, k), -np.inf)
+    np.fill_diagonal(unit, 0.0)
+    m = np.where(starts[:, None, None], unit + b[:, 0, None, :], a + b[:, 0, None, :])
+    for s in range(1, x.shape[1]):
+        m = np.where((s < n)[:, None, None], _multiply(m, a + b[:, s, None, :], best), m)
+    return m
+
+
 def _block_matrices(model: HmmModel, best: bool):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        k, width = model.n_regimes, len(model.columns)
-        a = _logs(model.transitions)
-        for frame, x, n in _batches(frames, width):
-            b = _log_density(x, model)
-            b -= b.max(-1, keepdims=True)
-            unit = np.full((k, k), -np.inf)
-            np.fill_diagonal(unit, 0.0)
-            starts = (frame["block"] == 0).to_numpy()[:, None, None]
-            m = np.where(starts, unit + b[:, 0, None, :], a + b[:, 0, None, :])
-            for s in range(1, x.shape[1]):
-                m = np.where((s < n)[:, None, None], _multiply(m, a + b[:, s, None, :], best), m)
+        for frame, x, n in _batches(frames, len(model.columns)):
+            m = _matrices(x, n, (frame["block"] == 0).to_numpy(), model, best)
             out = frame.drop(columns=["xs"])
             out["m"] = list(m.reshape(len(n), -1))
             yield out
@@ -369,19 +386,21 @@ def _with_boundaries(blocks: Blocks, model: HmmModel, best: bool) -> DataFrame:
 # ---- fit --------------------------------------------------------------------------------------
 
 
-def _sufficient_statistics(model: HmmModel):
-    """Per batch one array: log likelihood, first-row weights, transition, weight, first and second sums."""
+def _statistics(model: HmmModel, frame: pd.DataFrame, x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Log likelihood, first-row weights, transition, weight, first and second sums of a batch."""
+    k = model.n_regimes
+    heads, starts = _heads(frame, _logs(model.start))
+    gamma, log_like, xi = _smooth(_log_density(x, model), n, heads, starts, _tails(frame, k), model.transitions)
+    first = gamma[starts, 0].sum(0)
+    moved = np.stack([np.einsum("rs,rsd->d", gamma[..., i], x - model.means[i]) for i in range(k)])
+    spread = np.stack([np.einsum("rs,rsd->d", gamma[..., i], (x - model.means[i]) ** 2) for i in range(k)])
+    return np.concatenate([[log_like.sum()], first, xi.ravel(), gamma.sum((0, 1)), moved.ravel(), spread.ravel()])
 
+
+def _sufficient_statistics(model: HmmModel):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a, k, width = model.transitions, model.n_regimes, len(model.columns)
-        for frame, x, n in _batches(frames, width):
-            heads, starts = _heads(frame, _logs(model.start))
-            gamma, log_like, xi = _smooth(_log_density(x, model), n, heads, starts, _tails(frame, k), a)
-            first = gamma[starts, 0].sum(0)
-            moved = np.stack([np.einsum("rs,rsd->d", gamma[..., i], x - model.means[i]) for i in range(k)])
-            spread = np.stack([np.einsum("rs,rsd->d", gamma[..., i], (x - model.means[i]) ** 2) for i in range(k)])
-            parts = [[log_like.sum()], first, xi.ravel(), gamma.sum((0, 1)), moved.ravel(), spread.ravel()]
-            yield pd.DataFrame({"stats": [np.concatenate(parts)]})
+        for frame, x, n in _batches(frames, len(model.columns)):
+            yield pd.DataFrame({"stats": [_statistics(model, frame, x, n)]})
 
     return run
 
@@ -431,6 +450,133 @@ def initial_model(blocks: Blocks, n_regimes: int = REGIMES, seed: int = SEED) ->
     return HmmModel(blocks.columns, even, np.tile(even, (n_regimes, 1)), means, variances)
 
 
+class _Held:
+    """The blocks that one task of a barrier stage keeps, in order of their series."""
+
+    def __init__(self, frame: pd.DataFrame, keys: Sequence[str], width: int):
+        self.batches = list(_batches(iter([frame.assign(lane=np.arange(len(frame)))] if len(frame) else []), width))
+        names = [json.dumps([str(v) for v in row]) for row in frame[list(keys)].itertuples(index=False)] if keys else ["[]"] * len(frame)
+        self.series = np.array(names, dtype=object)
+        self.block, self.blocks = frame["block"].to_numpy(), frame["n_blocks"].to_numpy()
+        long_ones = np.flatnonzero(self.blocks > 1)
+        cuts = np.flatnonzero(np.append(True, self.series[long_ones[1:]] != self.series[long_ones[:-1]])[: len(long_ones)])
+        self.pieces = [list(p) for p in np.split(long_ones, cuts[1:])] if len(long_ones) else []
+
+    def products(self, model: HmmModel) -> dict[int, np.ndarray]:
+        """Matrices of the blocks of series that span several."""
+        out = {}
+        for frame, x, n in self.batches:
+            at = np.flatnonzero((frame["n_blocks"] > 1).to_numpy())
+            if len(at):
+                steps = int(n[at].max())
+                m = _matrices(x[at, :steps], n[at], (frame["block"].iloc[at] == 0).to_numpy(), model, False)
+                out |= dict(zip(frame["lane"].iloc[at].tolist(), m))
+        return out
+
+    def open_pieces(self, matrices: dict[int, np.ndarray]) -> list[tuple[str, np.ndarray]]:
+        """Of the (at most two) series that go on in other tasks: the product of the blocks that are here."""
+        out = []
+        for piece in self.pieces:
+            if self.block[piece[0]] > 0 or self.block[piece[-1]] + 1 < self.blocks[piece[-1]]:
+                total = matrices[piece[0]]
+                for lane in piece[1:]:
+                    total = _multiply(total, matrices[lane], False)
+                out.append((self.series[piece[0]], total))
+        return out
+
+    def stitch(self, model: HmmModel, matrices: dict[int, np.ndarray], others: list[list[tuple[str, np.ndarray]]], own: int) -> None:
+        """Give each block of a long series what enters it from both sides; ``others`` are the open pieces of all tasks."""
+        ends: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for piece in self.pieces:
+            head, tail = _logs(model.start), np.zeros(model.n_regimes)
+            around = [(task, m) for task, found in enumerate(others) for name, m in found if name == self.series[piece[0]]]
+            place = [task for task, _ in around]
+            if own in place:
+                heads, tails = _along([m for _, m in around], head, tail, False)
+                head, tail = heads[place.index(own)], tails[place.index(own)]
+            heads, tails = _along([matrices[lane] for lane in piece], head, tail, False)
+            ends |= {lane: pair for lane, *pair in zip(piece, heads, tails)}
+        for frame, _, _ in self.batches:
+            frame["head"] = [ends[lane][0] if lane in ends else None for lane in frame["lane"]]
+            frame["tail"] = [ends[lane][1] if lane in ends else None for lane in frame["lane"]]
+
+
+def _text(values: np.ndarray) -> str:
+    return base64.b64encode(np.ascontiguousarray(values, dtype=float).tobytes()).decode()
+
+
+def _values(text: str) -> np.ndarray:
+    return np.frombuffer(base64.b64decode(text), float)
+
+
+def _rounds_in_stage(
+    blocks: Blocks, model: HmmModel, n_iter: int, tol: float, before: float | None, tasks: int, probe: Callable[[int], None] | None = None
+) -> tuple[HmmModel, list[float], bool, float]:
+    """Up to ``n_iter`` rounds in one barrier stage: the model, the log likelihoods, whether the gain fell below ``tol``, and
+    the log likelihood of the result. ``before`` is the log likelihood of an earlier stage's last round."""
+    keys, k, stitched = blocks.keys, model.n_regimes, blocks.stitched > 0
+    # Series that fit into a task stay whole, which saves one of the two exchanges of a round.
+    longest_values = blocks.longest * (blocks.values // max(blocks.count, 1) + 1)
+    whole = bool(keys) and longest_values * tasks <= max(blocks.values, TASK_VALUES // 8)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = BarrierTaskContext.get()
+        frames = [b.to_pandas() for b in batches]
+        columns = [*keys, "block", "n_blocks", "xs"]
+        held = _Held(pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=columns), keys, len(model.columns))
+        own, now, trace, done = context.partitionId(), model, [] if before is None else [before], False
+
+        def expectation() -> np.ndarray:
+            if stitched:
+                matrices = held.products(now)
+                mine = [(name, _text(m.ravel())) for name, m in held.open_pieces(matrices)]
+                said = [] if whole else context.allGather(json.dumps(mine))
+                told = [[(name, _values(t).reshape(k, k)) for name, t in json.loads(x)] for x in said]
+                held.stitch(now, matrices, told, own)
+            size = 1 + k + k * k + k + 2 * k * len(now.columns)
+            sums = sum((_statistics(now, *b) for b in held.batches), np.zeros(size))
+            # Every task adds the same numbers in the same order, so all go on with the same model.
+            return np.sum([_values(x) for x in context.allGather(_text(sums))], axis=0)
+
+        for turn in range(n_iter):
+            if probe is not None:
+                probe(turn)
+            stats = expectation()
+            if not np.isfinite(stats).all():
+                raise FloatingPointError("the fit left the number range; are all features finite?")
+            trace.append(float(stats[0]))
+            now = _maximize(now, stats)
+            if len(trace) > 1 and trace[-1] - trace[-2] < tol:
+                done = True
+                break
+        final = float(expectation()[0])
+        if own == 0:
+            flat = np.concatenate([now.start, now.transitions.ravel(), now.means.ravel(), now.variances.ravel()])
+            yield pa.RecordBatch.from_pydict(
+                {"model": [flat.tolist()], "trace": [trace if before is None else trace[1:]], "done": [done], "final": [final]}
+            )
+
+    rows = blocks.df.select(*keys, "block", "n_blocks", "xs")
+    dealt = rows.repartition(tasks, *keys) if whole else rows.repartitionByRange(tasks, *keys, "block")
+    dealt = dealt.sortWithinPartitions(*keys, "block")
+    made = dealt.mapInArrow(run, "model array<double>, trace array<double>, done boolean, final double", barrier=True)
+    # Behind an exchange: Spark runs a failed barrier stage again only if it is not the last one of its job.
+    made = made.repartition(1).collect()[0]
+    d = len(model.columns)
+    start, transitions, means, variances = np.split(np.array(made["model"]), np.cumsum([k, k * k, k * d]))
+    found = HmmModel(model.columns, start, transitions.reshape(k, k), means.reshape(k, d), variances.reshape(k, d))
+    return found, list(made["trace"]), made["done"], made["final"]
+
+
+def stage_tasks(blocks: Blocks) -> int:
+    """How many tasks of one barrier stage keep all blocks; 0 if they can't, or if executors come and go."""
+    spark = blocks.df.sparkSession
+    if spark.conf.get("spark.dynamicAllocation.enabled", "false") == "true":
+        return 0
+    slots = spark.sparkContext.defaultParallelism
+    return max(1, min(slots, blocks.count)) if blocks.values <= slots * TASK_VALUES else 0
+
+
 def fit(
     df: DataFrame,
     columns: Sequence[str],
@@ -442,18 +588,33 @@ def fit(
     tol: float = TOLERANCE,
     seed: int = SEED,
     start_from: HmmModel | None = None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
     max_rows: int | None = MAX_ROWS,
     blocks: Blocks | None = None,
+    one_stage: bool | None = None,
 ) -> HmmModel:
     """Expectation maximisation until the log likelihood gains less than ``tol``.
 
-    Each round is one pass over the stored blocks; the driver only sees one array of sums.
+    With ``one_stage`` the rounds run inside barrier stages of ``STAGE_ROUNDS`` rounds, else each is one pass over the stored
+    blocks; either way the driver only sees one array of sums. Left open, the size of the blocks decides; both ways give the same model.
     """
-    packed = blocks or pack(df, columns, keys, ts, tie, block_rows, max_rows)
+    shortest = BLOCK_ROWS if one_stage is False else STAGE_BLOCK_ROWS
+    packed = blocks or pack(df, columns, keys, ts, tie, block_rows or shortest, max_rows)
+    tasks = stage_tasks(packed) if one_stage is not False else 0
+    if one_stage and not tasks:
+        raise ValueError("the blocks do not fit into one barrier stage")
+    if not tasks and blocks is None and block_rows is None and one_stage is None:
+        packed = pack(df, columns, keys, ts, tie, BLOCK_ROWS, max_rows)
     model = start_from or initial_model(packed, n_regimes, seed)
     trace: list[float] = []
-    for _ in range(n_iter):
+    final = None
+    while tasks and len(trace) < n_iter:
+        rounds = min(STAGE_ROUNDS, n_iter - len(trace))
+        model, gained, done, final = _rounds_in_stage(packed, model, rounds, tol, trace[-1] if trace else None, tasks)
+        trace += gained
+        if done:
+            break
+    for _ in range(0 if tasks else n_iter):
         stats = _expectation(packed, model)
         if not np.isfinite(stats).all():
             raise FloatingPointError("the fit left the number range; are all features finite?")
@@ -461,7 +622,7 @@ def fit(
         model = _maximize(model, stats)
         if len(trace) > 1 and trace[-1] - trace[-2] < tol:
             break
-    final = float(_expectation(packed, model)[0])
+    final = float(_expectation(packed, model)[0]) if final is None else final
     return HmmModel(model.columns, model.start, model.transitions, model.means, model.variances, final, tuple(trace))
 
 
@@ -547,6 +708,11 @@ def decode(blocks: Blocks, model: HmmModel) -> DataFrame:
     return _unpack(blocks, arrays, ["regime_id"])
 
 
+def label_counts(labelled: DataFrame, regime: str = "regime_id") -> DataFrame:
+    """How many rows each regime has; rows without a regime are counted too."""
+    return labelled.groupBy(regime).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def _array_schema(blocks: Blocks, names: Sequence[str], kind: T.DataType) -> T.StructType:
     return T.StructType(
         [

@@ -15,6 +15,7 @@ from tideshift.session import scratch_path, settle
 # One row per series and day, so a series has a few thousand rows at any scale and needs no size check.
 KEY = {"keys": ("series",), "max_rows": None}
 COLUMNS = ("wind_speed", "energy_production")
+MEASURES = ("wind_speed", "energy_production", "temperature", "price")
 
 # A detector as fitted elsewhere, so that decoding and probabilities can be checked by SQL.
 MODEL = hmm.HmmModel(
@@ -25,11 +26,11 @@ MODEL = hmm.HmmModel(
     np.array([[4.0, 100.0], [9.0, 200.0], [25.0, 600.0]]),
 )
 
-# Reduced fits: a trial of the default settings (100 rounds, 100 deep trees, 50 epochs, 200 iterations) on the smallest
+# Reduced fits of the regressors: a trial of the default settings (100 rounds, 100 deep trees, 50 epochs) on the smallest
 # tables had finished none of these queries after 280 seconds, as every round is a few jobs. The operators' defaults are
-# the full ones.
+# the full ones. The Markov fits run 20 of at most 200 rounds: an exchange between the tasks of a barrier stage takes about a second.
+ITERATIONS = 20
 SETTINGS = training.Settings(tree_depth=3, rounds=3, forest_trees=4, forest_depth=4, epochs=30)
-ITERATIONS = 6
 
 # What a session has fitted for a folder of tables: several queries look at the same fit from different sides.
 _FITTED: dict[tuple, object] = {}
@@ -47,14 +48,16 @@ def packed(spark, sf) -> hmm.Blocks:
 
 
 def fitted(spark, sf) -> hmm.HmmModel:
-    """A few rounds over the standardised measures of all series."""
+    """All standardised measures of all series; a fit of its own for each query."""
+    rows = keyed(spark, sf)
+    scaled = scaling.apply_scaler(rows, scaling.fit_scaler(rows, MEASURES, "zscore"))
+    return hmm.fit(scaled, MEASURES, n_iter=ITERATIONS, **KEY)
 
-    def make() -> hmm.HmmModel:
-        rows = keyed(spark, sf)
-        scaled = scaling.apply_scaler(rows, scaling.fit_scaler(rows, COLUMNS, "zscore"))
-        return hmm.fit(scaled, COLUMNS, n_iter=ITERATIONS, **KEY)
 
-    return _once(spark, sf, "regimes", make)
+def em_step(spark, sf) -> DataFrame:
+    """The model after one round from a given one."""
+    step = hmm.fit(None, COLUMNS, blocks=packed(spark, sf), start_from=MODEL, n_iter=1)
+    return rounded(hmm.model_table(spark, step).where("kind <> 'log_likelihood'"))
 
 
 def model_roundtrip(spark, sf) -> DataFrame:
@@ -173,6 +176,8 @@ NAMES = {0: "regime_1", 1: "regime_2", 2: "regime_3"}
 QUERIES = {
     "hmm_fit": lambda s, d: hmm.model_table(s, fitted(s, d)),
     "hmm_gain": hmm_gain,
+    "hmm_em_step": em_step,
+    "hmm_label_counts": lambda s, d: hmm.label_counts(hmm.decode(packed(s, d), MODEL)),
     "hmm_decode": lambda s, d: hmm.decode(packed(s, d), MODEL),
     "hmm_posterior": lambda s, d: rounded(hmm.posterior(packed(s, d), MODEL)),
     "hmm_loglik": lambda s, d: rounded(hmm.log_likelihood(packed(s, d), MODEL)),
@@ -263,6 +268,32 @@ def _recursive(body: str) -> str:
     return with_views(f"+ {body}", "keyed").replace("WITH", "WITH RECURSIVE", 1)
 
 
+def _em_step() -> str:
+    """One round of expectation maximisation from ``MODEL``, its parameters as rows."""
+    pairs = [(i, j) for i in range(3) for j in range(3)]
+    joint = ", ".join(f"f.a{i} * {_a(i, j)} * e.b{j} * g.g{j} AS x{i}{j}" for i, j in pairs)
+    total = " + ".join(f"x{i}{j}" for i, j in pairs)
+    sums, out = [], []
+    for k in range(3):
+        sums += [f"sum(p{k}) AS w{k}", f"avg(p{k}) FILTER (t = 1) AS start{k}"]
+        out.append(f"SELECT 'start' AS kind, {k} AS regime_id, NULL::INTEGER AS index, NULL::VARCHAR AS column_name, start{k} AS value FROM s")
+        for d, c in enumerate(COLUMNS):
+            sums += [f"sum(p{k} * {c}) / sum(p{k}) AS m{k}{d}", f"sum(p{k} * {c} * {c}) AS q{k}{d}"]
+            out.append(f"SELECT 'mean', {k}, {d}, '{c}', m{k}{d} FROM s")
+            out.append(f"SELECT 'variance', {k}, {d}, '{c}', ({hmm.VARIANCE_PRIOR:e} + q{k}{d} - w{k} * m{k}{d} * m{k}{d}) / w{k} FROM s")
+    moves = ", ".join(f"sum(x{i}{j} / norm) AS n{i}{j}" for i, j in pairs)
+    out += [f"SELECT 'transition', {i}, {j}, NULL, n{i}{j} / ({' + '.join(f'n{i}{n}' for n in range(3))}) FROM n" for i, j in pairs]
+    return _recursive(f"""{_emissions()}, {_FORWARD}, {_BACKWARD}, {_GAMMA},
+      gs AS (SELECT gm.*, e.t, k.wind_speed, k.energy_production FROM gm JOIN e ON gm.series = e.series AND gm.timestamp = e.timestamp
+             JOIN keyed k ON gm.series = k.series AND gm.timestamp = k.timestamp),
+      s AS MATERIALIZED (SELECT {', '.join(sums)} FROM gs),
+      xi AS (SELECT *, {total} AS norm FROM (SELECT {joint} FROM f JOIN e ON e.series = f.series AND e.t = f.t + 1
+             JOIN g ON g.series = e.series AND g.t = e.t)),
+      n AS MATERIALIZED (SELECT {moves} FROM xi),
+      m AS ({' UNION ALL '.join(out)})
+      SELECT kind, regime_id, index, column_name, {sql_round('value', 'value')} FROM m""")
+
+
 _PROBABILITIES = ", ".join(sql_round(f"p{k}", f"regime_proba_{k}") for k in range(3))
 _STAGE = "CASE o_orderstatus WHEN 'F' THEN 'Production' WHEN 'O' THEN 'Staging' ELSE 'None' END"
 _VERSIONS = f"""vs AS (SELECT 'regime_' || o_orderpriority[1] AS name, o_orderdate AS registered_at, o_orderkey AS run_id, {_STAGE} AS stage,
@@ -288,6 +319,8 @@ ORACLE = {
     "run_log": with_views(
         f"""+ {_TRAINING} SELECT 'regime_' || regime_id || '_' || {_MODEL_NAME} AS run_name, CASE regime_id WHEN 1 THEN 'network' ELSE 'trees' END AS model_type,
         CASE regime_id WHEN 0 THEN '3' WHEN 2 THEN '4' END AS max_depth, count(*) AS n_samples, TRUE AS has_error FROM tr GROUP BY regime_id HAVING count(*) >= 50""", "keyed"),
+    "hmm_em_step": _em_step(),
+    "hmm_label_counts": _recursive(f"{_emissions()}, {_PATH} SELECT regime_id, count(*) AS n_rows FROM pt GROUP BY regime_id"),
     "hmm_decode": _recursive(f"{_emissions()}, {_PATH} SELECT * FROM pt"),
     "hmm_posterior": _recursive(f"{_emissions()}, {_FORWARD}, {_BACKWARD}, {_GAMMA} SELECT series, timestamp, {_PROBABILITIES} FROM gm"),
     "hmm_loglik": _recursive(
