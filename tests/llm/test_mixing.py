@@ -6,6 +6,7 @@ from collections import Counter
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from tideshift.llm import mixing
@@ -87,3 +88,36 @@ def test_empty_and_odd(spark):
     assert mixing.mix(one).collect()[0]["mix_block"] == 0
     with pytest.raises(ValueError):
         mixing.mix(one, weights={"a": 0.0})
+
+
+def test_many_sources(spark):
+    """5,000 sources in several bundles: every row once, no slot twice, each source near its weight while all last."""
+    sources, each = 5000, 4
+    df = spark.range(sources * each).selectExpr("id as doc_id", f"concat('s', id % {sources}) as source")
+    shares = {r["source"]: r for r in mixing.source_shares(df).collect()}
+    bundles = {r["bundle"]: r["bundle_share"] for r in shares.values()}
+    assert len(shares) == sources and len(bundles) > 10
+    assert sum(bundles.values()) == next(iter(shares.values()))["bundle_period"]
+    for b in bundles:
+        assert sum(r["share"] for r in shares.values() if r["bundle"] == b) == next(r["period"] for r in shares.values() if r["bundle"] == b)
+    rows = mixing.mix(df, block_rows=1).collect()
+    assert len({r["doc_id"] for r in rows}) == len({r["mix_slot"] for r in rows}) == sources * each
+    slots = sorted((r["mix_slot"], r["source"]) for r in rows)
+    done, by_bundle = Counter(), Counter()
+    end = min(max(t for t, s in slots if shares[s]["bundle"] == b) for b in bundles)
+    for t, s in slots:
+        if t > end:
+            break
+        r = shares[s]
+        assert abs(by_bundle[r["bundle"]] - Fraction(r["bundle_share"] * t, r["bundle_period"])) < 1
+        if t < end // 2:
+            assert abs(done[s] - Fraction(r["share"] * r["bundle_share"] * t, r["period"] * r["bundle_period"])) < 2
+        done[s] += 1
+        by_bundle[r["bundle"]] += 1
+
+
+def test_clashing_names(spark):
+    names = ["at", "share", "p", "k", "turn", "row", "block", "bundle", "period", "rows", "start", "__source", "top_k"]
+    df = spark.range(50).select("id", (F.col("id") % 3).cast("string").alias("source"), *[F.col("id").alias(c) for c in names])
+    got = mixing.mix(df, block_rows=2, period=30).collect()
+    assert len(got) == 50 and all(r[c] == r["id"] for r in got for c in names)
