@@ -88,8 +88,16 @@ def test_token_stage(stages):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
+def test_result_carries_the_mix(stages):
+    """Places in the result are those that the mixing stage laid its rows out by; rows that repeat share theirs in any order."""
+    texts = {r[0]: r[1] for r in rows(stages[3])}
+    place = {(r.doc_id, r.mix_slot, r.mix_position) for r in mixing.mix(stages[3].repartition(7)).collect()}
+    made = {(r.doc_id, r.mix_slot, r.mix_position) for r in stages[5].collect()}
+    assert made == place and len({p for _, _, p in made}) == len(made) >= len(texts)
+
+
 def test_run_and_empty_table(spark, tmp_path):
     whole = cp.run(spark, SF)
-    assert whole.columns == ["doc_id", "source", "n_tokens", "token_ids", "ids_sha256", "decoded_sha256"] and whole.count() > 150
+    assert whole.columns == ["doc_id", "source", "mix_slot", "mix_position", "n_tokens", "token_ids", "ids_sha256", "decoded_sha256"] and whole.count() > 150
     spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert cp.run(spark, str(tmp_path)).count() == 0
