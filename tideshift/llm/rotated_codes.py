@@ -9,8 +9,8 @@ thousand pairs.
 
 Cells are stored once, in pieces of bounded size with codes, scalars and vectors; a cell that holds many rows has many
 pieces. Queries stand in blocks by their own cell. A first pass searches one piece of that cell, so that each query has
-``k`` exact scores and with the last of them a bar. The second pass sends a block of queries to every piece that may hold
-more: a cell stays out for a query whose inner product with the centroid plus its length times the cell's radius is
+``k`` exact scores and with the last of them a bar. The second pass sends a block of queries to every other piece that may
+hold more: a cell stays out for a query whose inner product with the centroid plus its length times the cell's radius is
 below the bar, which loses nothing. Inside a piece the ``2 k`` best estimates are scored exactly, the bar rises to the k-th
 of them, and only vectors whose upper bound reaches it are scored exactly too. Pieces keep their place: queries
 travel, vectors do not.
@@ -259,7 +259,10 @@ def meet(index: DataFrame, asking: DataFrame, tasks: int, centers: np.ndarray, c
 
 
 def visits(blocks: DataFrame, centers: np.ndarray, radius: np.ndarray, first_piece: np.ndarray, salts: int, home: bool) -> DataFrame:
-    """Blocks of queries (with ``bars``, or all of them open) once for each piece they go to, and the queries ``chosen`` there."""
+    """Blocks of queries once for each piece they go to, and the queries ``chosen`` there.
+
+    At ``home`` that is one piece of their own cell and every query; later, with ``bars``, all other pieces that may reach them.
+    """
     dimension = centers.shape[1]
     names = ("query_ids", "queries", "bars", "chosen")
     schema = T.StructType([*[T.StructField(c, T.LongType()) for c in ("piece", "salt", "qb")], *[T.StructField(c, T.BinaryType()) for c in names]])
@@ -270,10 +273,10 @@ def visits(blocks: DataFrame, centers: np.ndarray, radius: np.ndarray, first_pie
                 queries = _matrix(row["vectors"], dimension)
                 bars = np.full(len(queries), -np.inf) if home else np.frombuffer(row["bars"], np.float64)
                 size = np.linalg.norm(queries, axis=1)
+                own = int(cells_of(queries[:1], centers)[0])  # a block's queries have one cell
+                first = int(first_piece[own] + row["qb"] % (first_piece[own + 1] - first_piece[own]))
                 if home:
-                    cell = int(cells_of(queries[:1], centers)[0])
-                    pieces = first_piece[cell + 1] - first_piece[cell]
-                    targets = [(int(first_piece[cell] + row["qb"] % pieces), np.arange(len(queries), dtype=np.int32))]
+                    targets = [(first, np.arange(len(queries), dtype=np.int32))]
                 else:
                     targets = []
                     for cell in np.flatnonzero(np.diff(first_piece)):
@@ -281,7 +284,7 @@ def visits(blocks: DataFrame, centers: np.ndarray, radius: np.ndarray, first_pie
                         slack = 1e-9 * size * (np.linalg.norm(centers[cell]) + radius[cell])
                         chosen = np.flatnonzero(most >= bars - slack).astype(np.int32)
                         if len(chosen):
-                            targets += [(p, chosen) for p in range(int(first_piece[cell]), int(first_piece[cell + 1]))]
+                            targets += [(p, chosen) for p in range(int(first_piece[cell]), int(first_piece[cell + 1])) if p != first]
                 for piece, chosen in targets:
                     values = [piece, row["qb"] % salts, row["qb"], row["ids"], row["vectors"], bars.tobytes(), chosen.tobytes()]
                     yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, [pa.int64()] * 3 + [pa.binary()] * 4)], names=schema.names)
@@ -355,9 +358,9 @@ def nearest(
     salted = index.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<long>")))
     tasks = int(min(100_000, 2 * salts * first_piece[-1]))
     common_args = (tasks, centers, cell_of_piece, k, seed)
-    at_home = meet(salted, visits(blocks, centers, radius, first_piece, salts, home=True), *common_args)
+    at_home = settle(meet(salted, visits(blocks, centers, radius, first_piece, salts, home=True), *common_args))
     barred = settle(with_bars(blocks, at_home, k))
-    found = meet(salted, visits(barred, centers, radius, first_piece, salts, home=False), *common_args)
+    found = at_home.unionByName(meet(salted, visits(barred, centers, radius, first_piece, salts, home=False), *common_args))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
