@@ -174,9 +174,12 @@ def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def walk(group: np.ndarray, side: np.ndarray, depth: np.ndarray, used: np.ndarray, val: np.ndarray, budget: int):
     """Index pairs that connect what lies within the budget inside each node pair, as spanning forests.
 
-    All arguments have one entry per row, sorted by (group, side, val). Returns two index arrays.
+    All arguments have one entry per row, sorted by (group, side, val). ``val`` has one number a row, or a row of
+    numbers for fingerprints of several words, the first word on top of the trie. Returns two index arrays.
     """
     n = len(val)
+    words = val.reshape(n, -1)
+    bits = BITS * words.shape[1]
     label = np.arange(n)
     starts = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (side[1:] != side[:-1])]))
     ends = np.append(starts[1:], n)
@@ -206,7 +209,7 @@ def walk(group: np.ndarray, side: np.ndarray, depth: np.ndarray, used: np.ndarra
         joined = (breaks[hi1 - 1] == breaks[lo1]) & (breaks[hi2 - 1] == breaks[lo2]) & (label[lo1] == label[lo2])
         alive = ~joined
         # Below here no pair can exceed the budget any more, so everything under both nodes is connected.
-        ripe = alive & (BITS - at <= budget - spent)
+        ripe = alive & (bits - at <= budget - spent)
         if ripe.any():
             a1, b1, a2, b2 = lo1[ripe], hi1[ripe], lo2[ripe], hi2[ripe]
             left = np.concatenate([_ranges(a1, b1), _ranges(a2, b2)])
@@ -221,7 +224,8 @@ def walk(group: np.ndarray, side: np.ndarray, depth: np.ndarray, used: np.ndarra
         mid1, mid2 = np.empty_like(lo1), np.empty_like(lo2)
         for level in np.unique(at).tolist():
             if level not in ones:
-                ones[level] = np.concatenate([[0], np.cumsum((val >> np.uint64(BITS - 1 - level)) & np.uint64(1))]).astype(np.int64)
+                bit = (words[:, level // BITS] >> np.uint64(BITS - 1 - level % BITS)) & np.uint64(1)
+                ones[level] = np.concatenate([[0], np.cumsum(bit)]).astype(np.int64)
             here, count = at == level, ones[level]
             mid1[here] = hi1[here] - (count[hi1[here]] - count[lo1[here]])
             mid2[here] = hi2[here] - (count[hi2[here]] - count[lo2[here]])
@@ -344,13 +348,21 @@ def keep_one(
     Of rows that share this id, one with the smallest digest of its text stays.
     """
     stored = settle(fingerprints(df, id_col, text, width, seed))
+    return keep_least(df, stored, _classes(stored, budget, group_rows), id_col, text)
+
+
+def keep_least(df: DataFrame, stored: DataFrame, roots: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``df`` with one row of each component, from ``stored`` (doc, digest, fp) and ``roots`` (fp, root)."""
     order = F.struct(F.col("doc").isNull().alias("none"), "doc", "digest")
     best = stored.groupBy("fp").agg(F.min(order).alias("best"))
-    kept = _classes(stored, budget, group_rows).join(best, "fp").groupBy("root").agg(F.min("best").alias("best"))
-    kept = kept.select(_id_key(F.col("best.doc")).alias("__id"), F.col("best.digest").alias("__digest"))
-    rows = df.withColumn("__id", _id_key(F.col(id_col))).withColumn("__digest", F.xxhash64(text))
-    one = rows.join(settle(kept), ["__id", "__digest"], "left_semi").dropDuplicates(["__id", "__digest"])
-    return one.drop("__id", "__digest")
+    kept = roots.join(best, "fp").groupBy("root").agg(F.min("best").alias("best"))
+    # Names that the caller's columns do not have, in upper or lower case.
+    stem = "__kept" + "_" * max(map(len, df.columns))
+    id_key, digest = f"{stem}id", f"{stem}digest"
+    kept = kept.select(_id_key(F.col("best.doc")).alias(id_key), F.col("best.digest").alias(digest))
+    rows = df.withColumn(id_key, _id_key(F.col(id_col))).withColumn(digest, F.xxhash64(text))
+    one = rows.join(settle(kept), [id_key, digest], "left_semi").dropDuplicates([id_key, digest])
+    return one.drop(id_key, digest)
 
 
 def _id_key(doc: Column) -> Column:
