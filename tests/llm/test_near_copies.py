@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from tideshift.llm import near_copies as nc
+from tideshift.llm import simhash
 
 
 def shingles(text, width=5):
@@ -51,6 +52,16 @@ def test_sample_keys_take_the_first_of_each_order():
     assert len(nc.sample_keys(some[:0], salt)) == nc.SAMPLES
 
 
+def test_bits_are_those_of_the_plain_count():
+    rng = np.random.default_rng(4)
+    counts = np.array([0, 1, 2, 254, 255, 256, 0, 510, 511, 5000, 7, 0])
+    hashes = rng.integers(0, 1 << 64, counts.sum(), dtype=np.uint64)
+    assert (nc.majority_bits(counts, hashes) == simhash.fingerprint_rows(counts, hashes)).all()
+    ones = np.full(counts.sum(), (1 << 64) - 1, np.uint64)
+    assert (nc.majority_bits(counts, ones) == simhash.fingerprint_rows(counts, ones)).all()
+    assert len(nc.majority_bits(counts[:0], hashes[:0])) == 0
+
+
 def test_one_bucket_connects_like_all_pairs(spark):
     """Chains and balls of fingerprints in one bucket: groups are those of all pairs within the budget."""
     rng = random.Random(5)
