@@ -143,3 +143,30 @@ def test_odd_rows_and_clashing_columns(spark):
         [(3, ""), (4, "one"), (7, "two  WORDS"), (10, long + " end"), (None, "alone in the world it stands")], key=str
     )
     assert nc.keep_one(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("bucket_rows", [6, 40, 1000])
+def test_full_buckets_leave_no_pair_out(spark, bucket_rows):
+    """Pairs that share one full bucket and no other are joined, as are chains that cross its pieces."""
+    rng = random.Random(9)
+    bits, budget = 64 * nc.WORDS, nc.error_budget(0.8)
+
+    def near(v: int, n: int) -> int:
+        for b in rng.sample(range(bits), n):
+            v ^= 1 << b
+        return v
+
+    values = [rng.getrandbits(bits) for _ in range(120)]
+    values += [near(v, budget) for v in values[:40]] + [near(v, budget + 1) for v in values[40:60]]
+    for _ in range(30):
+        values.append(near(values[-1], budget))
+    rows = [(i, bytearray(v.to_bytes(bits // 8, "big")), [1, 2 + i % 2]) for i, v in enumerate(values)]
+    roots = nc.classes(spark.createDataFrame(rows, "fp long, wide binary, keys array<long>"), bucket_rows=bucket_rows)
+    got = {r.fp: r.root for r in roots.collect()}
+    label = list(range(len(values)))
+    for i, j in itertools.combinations(range(len(values)), 2):
+        if (values[i] ^ values[j]).bit_count() <= budget:
+            old, new = max(label[i], label[j]), min(label[i], label[j])
+            label = [new if x == old else x for x in label]
+    pairs = list(itertools.combinations(range(len(values)), 2))
+    assert [got[i] == got[j] for i, j in pairs] == [label[i] == label[j] for i, j in pairs]

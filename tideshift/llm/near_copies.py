@@ -7,11 +7,11 @@ probability s ** DRAWN, and one of all keys with 1 - (1 - s ** DRAWN) ** SAMPLES
 of one key the trie of ``simhash.walk`` runs over fingerprints of 512 bits, whose error budget follows from the
 similarity: the bits that differ on average there, and ``MARGIN`` standard deviations more.
 
-A bucket may grow without bound where many documents share a passage. Documents of buckets above ``bucket_rows``
-distinct fingerprints are dealt out again by every two of their full buckets; what shares only one
-full bucket and no other is missed (0.02 at 0.8 if all its buckets are full). Where two shared keys still give
-a full bucket, its members are alike as a rule and are dealt into random pieces, other ones for each two keys,
-so a document meets many of its copies. No task holds more than a few pieces.
+A bucket may grow without bound where many documents share a passage. Buckets above ``bucket_rows`` distinct
+fingerprints are cut into pieces of about half as many. Each piece is walked by itself first; then every two pieces
+of a bucket are walked against each other, except where all are connected by then, and what is connected is not
+compared again. So no pair of a bucket is left out, and no task holds more than two pieces of a bucket; where a full
+bucket's members are all unlike, its work grows with the square of its size, spread over the pairs of pieces.
 
 Copies share a fingerprint and cost one row in each bucket. Missing texts and texts without words have fingerprint
 zero and are one group; texts of fewer words than a shingle are compared whole. Rows that repeat and rows without
@@ -120,23 +120,10 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text: str = "text", widt
     return map_texts(rows, work, schema).withColumn("fp", F.xxhash64("wide"))
 
 
-def _dealt(stored: DataFrame, bucket_rows: int) -> DataFrame:
-    """``key``, ``fp``, ``wide``: every distinct fingerprint in its buckets, full ones dealt out again."""
+def _buckets(stored: DataFrame) -> DataFrame:
+    """``key``, ``fp``, ``wide``: every distinct fingerprint in its buckets."""
     rows = settle(stored.groupBy("fp").agg(F.first("wide").alias("wide"), F.first("keys").alias("keys")))
-    rows = settle(rows.select(F.explode(F.array_distinct("keys")).alias("key"), "fp", "wide"))
-    full = settle(_full(rows, bucket_rows))
-    if not full.limit(1).count():
-        return rows
-    crowd = rows.join(full.select("key"), "key").groupBy("fp", "wide").agg(F.sort_array(F.collect_list("key")).alias("k"))
-    first = F.explode(F.expr("transform(sequence(0, size(k) - 2), i -> struct(k[i] as one, slice(k, i + 2, size(k)) as rest))"))
-    twos = crowd.where(F.size("k") > 1).select("fp", "wide", first.alias("f"))
-    twos = twos.select("fp", "wide", F.col("f.one").alias("one"), F.explode("f.rest").alias("two"))
-    twos = settle(twos.select(F.xxhash64("one", "two").alias("key"), "fp", "wide"))
-    crowded = settle(_full(twos, bucket_rows))
-    piece = F.pmod(F.xxhash64("key", "fp"), F.ceil(F.col("n") / bucket_rows))
-    pieces = twos.join(crowded, "key").select(F.xxhash64("key", piece).alias("key"), "fp", "wide")
-    rest = rows.join(full.select("key"), "key", "left_anti")
-    return rest.unionByName(twos.join(crowded.select("key"), "key", "left_anti")).unionByName(pieces)
+    return settle(rows.select(F.explode(F.array_distinct("keys")).alias("key"), "fp", "wide"))
 
 
 def _full(rows: DataFrame, bucket_rows: int) -> DataFrame:
@@ -146,7 +133,38 @@ def _full(rows: DataFrame, bucket_rows: int) -> DataFrame:
 def links(stored: DataFrame, similarity: float = 0.8, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Edges ``a``, ``b`` between values of ``fp`` that connect what lies within the error budget in one bucket."""
     budget = error_budget(similarity)
+    rows = _buckets(stored)
+    full = settle(_full(rows, bucket_rows))
+    if not full.limit(1).count():
+        return _walked(rows, budget)
+    pieces = F.ceil(2 * F.col("n") / bucket_rows).cast("int")
+    piece = F.pmod(F.xxhash64("key", "fp"), pieces).cast("int")
+    crowd = settle(rows.join(full, "key").select("key", "fp", "wide", pieces.alias("pieces"), piece.alias("piece")))
+    rest = rows.join(full.select("key"), "key", "left_anti")
+    alone = crowd.select(F.xxhash64("key", "piece").alias("key"), "fp", "wide")
+    found = settle(_walked(rest.unionByName(alone), budget))
+    crossed = settle(_walked(_two_pieces(crowd, components(found)), budget))
+    return found.unionByName(crossed)
+
+
+def _two_pieces(crowd: DataFrame, found: DataFrame) -> DataFrame:
+    """Every two pieces of each full bucket under a key of their own, one as side 1 and one as side 2, with the ``root``
+    that each fingerprint has so far. Buckets whose members are all connected are left out."""
+    named = crowd.join(found, crowd["fp"] == found["vertex"], "left").select(*crowd.columns, F.coalesce("root", "fp").alias("root"))
+    named = settle(named)
+    open_ones = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    others = named.join(open_ones.select("key"), "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    others = others.where("other <> piece")
+    return others.select(
+        F.xxhash64("key", F.least("piece", "other"), F.greatest("piece", "other")).alias("key"), "fp", "wide",
+        F.when(F.col("piece") < F.col("other"), 1).otherwise(2).alias("side"), "root",
+    )
+
+
+def _walked(rows: DataFrame, budget: int) -> DataFrame:
+    """Edges inside each ``key`` of ``rows``, or between its two sides."""
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    sided = "side" in rows.columns
 
     def flush(held: list[pa.Table], last: bool) -> pa.RecordBatch | None:
         whole = pa.concat_tables(held).combine_chunks()
@@ -163,9 +181,11 @@ def links(stored: DataFrame, similarity: float = 0.8, bucket_rows: int = BUCKET_
         fp, group = whole.column("fp").to_numpy()[rows], group[rows]
         bits = b"".join(whole.column("wide").take(pa.array(rows)).to_pylist())
         val = np.frombuffer(bits, ">u8").astype(np.uint64).reshape(len(rows), WORDS)
-        order = np.lexsort((*val.T[::-1], group))
         none = np.zeros(len(rows), np.int64)
-        i, j = simhash.walk(group[order], none, none, none, val[order], budget)
+        side = whole.column("side").to_numpy()[rows] if sided else none
+        known = whole.column("root").to_numpy()[rows] if sided else fp
+        order = np.lexsort((*val.T[::-1], side, group))
+        i, j = simhash.walk(group[order], side[order], none, none, val[order], budget, known[order])
         return pa.RecordBatch.from_arrays([pa.array(fp[order[i]]), pa.array(fp[order[j]])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +204,7 @@ def links(stored: DataFrame, similarity: float = 0.8, bucket_rows: int = BUCKET_
         if held and (made := flush(held, True)) is not None:
             yield made
 
-    return _dealt(stored, bucket_rows).repartition("key").sortWithinPartitions("key").mapInArrow(run, schema)
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, schema)
 
 
 def classes(stored: DataFrame, similarity: float = 0.8, bucket_rows: int = BUCKET_ROWS) -> DataFrame:

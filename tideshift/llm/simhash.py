@@ -171,16 +171,21 @@ def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             label = further
 
 
-def walk(group: np.ndarray, side: np.ndarray, depth: np.ndarray, used: np.ndarray, val: np.ndarray, budget: int):
+def walk(group: np.ndarray, side: np.ndarray, depth: np.ndarray, used: np.ndarray, val: np.ndarray, budget: int, known=None):
     """Index pairs that connect what lies within the budget inside each node pair, as spanning forests.
 
     All arguments have one entry per row, sorted by (group, side, val). ``val`` has one number a row, or a row of
-    numbers for fingerprints of several words, the first word on top of the trie. Returns two index arrays.
+    numbers for fingerprints of several words, the first word on top of the trie. Rows with equal numbers in ``known``
+    are connected already. Returns two index arrays.
     """
     n = len(val)
     words = val.reshape(n, -1)
     bits = BITS * words.shape[1]
     label = np.arange(n)
+    if known is not None:
+        _, first, place = np.unique(known, return_index=True, return_inverse=True)
+        label = first[place]
+    before = label.copy()
     starts = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (side[1:] != side[:-1])]))
     ends = np.append(starts[1:], n)
     kind = side[starts]
@@ -192,7 +197,7 @@ def walk(group: np.ndarray, side: np.ndarray, depth: np.ndarray, used: np.ndarra
     lo2 = np.concatenate([starts[own], starts[cross + 1]])
     hi2 = np.concatenate([ends[own], ends[cross + 1]])
     todo = [(lo1, hi1, lo2, hi2, depth[lo1].astype(np.int64), used[lo1].astype(np.int64))]
-    breaks = np.arange(n)  # counts places where neighbours are in different components
+    breaks = np.concatenate([[0], np.cumsum(label[1:] != label[:-1])])  # counts places where neighbours are in different components
     ones = {}  # running counts of each bit, by depth
     while todo:
         lo1, hi1, lo2, hi2, at, spent = todo.pop()
@@ -245,7 +250,7 @@ def walk(group: np.ndarray, side: np.ndarray, depth: np.ndarray, used: np.ndarra
         # All of one level stay together while they are few. Of more, the last half is walked first: pairs that agree
         # so far connect most and spare the others.
         todo.append(tuple(np.concatenate(x) for x in zip(*made)))
-    moved = np.flatnonzero(label != np.arange(n))
+    moved = np.flatnonzero(label != before)
     return label[moved], moved
 
 
