@@ -149,3 +149,9 @@ def test_a_lost_task_costs_the_stage_only(spark, tmp_path):
     again = hmm._rounds_in_stage(blocks, MODEL, 3, -1.0, None, hmm.stage_tasks(blocks), probe)
     plain = hmm._rounds_in_stage(blocks, MODEL, 3, -1.0, None, hmm.stage_tasks(blocks))
     assert np.allclose(again[1], plain[1]) and len(again[1]) == 3
+
+
+def test_batches_stay_small():
+    """A batch holds a million feature values at most, so that what is computed from them does not grow with the partition."""
+    frame = pd.DataFrame({"xs": [np.zeros(2 * 500)] * 1500})
+    assert max(x.size for _, x, _ in hmm._batches(iter([frame]), 2)) <= 1_000_000

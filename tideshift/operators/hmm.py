@@ -41,7 +41,7 @@ VARIANCE_FLOOR = 1e-3
 SMALLEST = 1e-200  # scaled weights below this are computed in logarithms
 BLOCK_ROWS = 4096
 FAN = 4096
-BATCH_VALUES = 4_000_000
+BATCH_VALUES = 1_000_000
 BROADCAST_BLOCKS = 200_000
 STAGE_BLOCK_ROWS = 256  # short blocks: a task advances many side by side
 TASK_VALUES = 32_000_000  # feature values that one task of a barrier stage keeps (256 MB)
@@ -454,7 +454,8 @@ class _Held:
     """The blocks that one task of a barrier stage keeps, in order of their series."""
 
     def __init__(self, frame: pd.DataFrame, keys: Sequence[str], width: int):
-        self.batches = list(_batches(iter([frame.assign(lane=np.arange(len(frame)))] if len(frame) else []), width))
+        batches = _batches(iter([frame.assign(lane=np.arange(len(frame)))] if len(frame) else []), width)
+        self.batches = [(part.drop(columns="xs"), x, n) for part, x, n in batches]  # features once, as arrays
         names = [json.dumps([str(v) for v in row]) for row in frame[list(keys)].itertuples(index=False)] if keys else ["[]"] * len(frame)
         self.series = np.array(names, dtype=object)
         self.block, self.blocks = frame["block"].to_numpy(), frame["n_blocks"].to_numpy()
