@@ -105,3 +105,14 @@ def test_change_points_of_cut_series(skewed):
         changepoints.change_points(filled.repartition(7), "price", ["series"]),
         ["series", "segment_end"],
     )
+
+
+def test_short_runs_need_few_files(skewed):
+    """Runs may be far shorter than what a task takes; tasks and files follow the rows."""
+    runs = ordered_runs(skewed, ["series"], ["timestamp"], max_rows=7)
+    assert len(runs.stored.inputFiles()) <= 2
+    sizes = runs.stored.groupBy("series", RUN).count().toPandas()
+    assert sizes["count"].max() <= 7 and sizes["count"].sum() == 460
+    bounds = runs.stored.groupBy("series", RUN).agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b")).toPandas()
+    for _, own in bounds.sort_values(["series", RUN]).groupby("series"):
+        assert (own["a"].iloc[1:].to_numpy() > own["b"].iloc[:-1].to_numpy()).all()
