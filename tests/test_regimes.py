@@ -192,3 +192,17 @@ def test_registry(spark):
     assert latest == {("a", "Staging"): 4, ("a", "Production"): 3, ("b", "Production"): 1, ("c", "None"): 1}
     picked = registry.pick_models(everything, {0: "a", 1: "b", 2: "c"})
     assert registry.effective_models({0: "local", 2: "local"}, picked) == {0: "a/3", 1: "b/1", 2: "local"}
+
+
+def test_search_takes_values_in_by_pieces(monkeypatch):
+    """One kernel table for many values, instead of one for each."""
+    calls, add = [], changepoints.Search._add
+
+    def counted(self, x):
+        calls.append(np.size(x))
+        return add(self, x)
+
+    monkeypatch.setattr(changepoints.Search, "_add", counted)
+    x = np.random.default_rng(1).normal(0, 1, 600)
+    changepoints.pelt(x)
+    assert sum(calls) == 600 and len(calls) <= 15

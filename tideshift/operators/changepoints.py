@@ -21,6 +21,8 @@ STEP = 5
 DISTANCE_BOUNDS = (1e-2, 1e2)
 QUANTILES = 256  # steps of the quantiles that stand for a series' values when its bandwidth is taken
 ACCURACY = 10_000
+PIECE = 64  # values that the search takes in at a time
+PIECE_VALUES = 65_536  # entries of a piece's kernel table, as long as a single value needs fewer
 
 
 def bandwidth(quantiles: np.ndarray) -> float:
@@ -43,54 +45,73 @@ class Search:
         self.width, self.penalty, self.min_size, self.step = width, penalty, min_size, step
         self.n = 0
         self.oldest = 0  # place of the first value kept
+        self.needed = 0  # place of the first value that can still matter
         self.values = np.zeros(256)
-        self.inner = np.zeros(64)  # kernel sums of [start, n) for the grid places from the oldest on
+        self.inner = np.zeros(0)  # kernel sums of [start, n) for the grid places from the oldest on
         self.best = [0.0]  # by grid place; infinite where no segment can end
         self.previous = [0]
-        self.starts = np.zeros(0, np.int64)
+        self.open = 0  # starts that can still win
+        self.starts = np.zeros(64, np.int64)
+        self.paid = np.zeros(64)  # best costs at the starts
 
     def feed(self, x: np.ndarray) -> None:
-        for value in x.tolist():
-            self._add(value)
-            if self.n % self.step == 0:
-                self._end(self.n)
-
-    def _add(self, value: float) -> None:
-        kept = self.n - self.oldest
-        if kept == len(self.values):
-            self.values = np.concatenate([self.values, np.zeros(kept)])
-        self.values[kept] = value
-        grid = self.n // self.step - self.oldest // self.step + 1  # grid places up to here
-        if grid > len(self.inner):
-            self.inner = np.concatenate([self.inner, np.zeros(len(self.inner))])
-        d = (self.values[:kept] - value) ** 2 / self.width
-        k = np.exp(-np.clip(d, *DISTANCE_BOUNDS))
-        upto = np.concatenate([np.cumsum(k[::-1])[::-1], [0.0]])
+        x, at = np.asarray(x, dtype=float), 0
+        while at < len(x):
+            size = min(PIECE, max(PIECE_VALUES // (self.n - self.oldest + 1), 1))
+            self._add(x[at : at + size])
+            at += size
+
+    def _add(self, x: np.ndarray) -> None:
+        """Take a piece in: one kernel table of what is kept and the piece, added up by grid places."""
+        kept, size = self.n - self.oldest, len(x)
+        while kept + size > len(self.values):
+            self.values = np.concatenate([self.values, np.zeros(len(self.values))])
+        self.values[kept : kept + size] = x
+        k = self.values[: kept + size, None] - x
+        np.multiply(k, k, out=k)
+        k /= -self.width
+        np.clip(k, -DISTANCE_BOUNDS[1], -DISTANCE_BOUNDS[0], out=k)
+        np.exp(k, out=k)
+        k[kept:] = np.triu(k[kept:], 1)  # a value pairs with those before it
         # The oldest value lies on the grid, and so every step-th one from it.
-        places = upto[:: self.step]
-        self.inner[: len(places)] += 2 * places + 1.0
-        self.n += 1
-        if self.n % self.step == 0 and grid < len(self.inner):
-            self.inner[grid] = 0.0
+        places = np.arange(0, kept + size, self.step)
+        pairs = np.add.reduceat(k, places, axis=0)[::-1].cumsum(0)[::-1]
+        inner = 2 * pairs + (places[:, None] <= np.arange(kept, kept + size))
+        known = -(-kept // self.step)
+        inner[:known, 0] += self.inner[:known]
+        inner = inner.cumsum(1)
+        before = self.n
+        for n in range((before // self.step + 1) * self.step, before + size + 1, self.step):
+            self.inner, self.n = inner[:, n - before - 1], n
+            self._end(n)
+        self.inner, self.n = inner[:, -1].copy(), before + size
+        self._forget(self.needed)
 
     def _end(self, end: int, last: bool = False) -> float:
         newest = (end - self.min_size) // self.step * self.step
-        if newest >= 0 and self.best[newest // self.step] < np.inf and (not len(self.starts) or newest > self.starts[-1]):
-            self.starts = np.append(self.starts, newest)
+        if newest >= 0 and self.best[newest // self.step] < np.inf and (not self.open or newest > self.starts[self.open - 1]):
+            if self.open == len(self.starts):
+                self.starts, self.paid = np.resize(self.starts, 2 * self.open), np.resize(self.paid, 2 * self.open)
+            self.starts[self.open], self.paid[self.open] = newest, self.best[newest // self.step]
+            self.open += 1
         cost, previous = np.inf, 0
-        if end >= self.min_size and len(self.starts):
-            size = end - self.starts
-            inner = self.inner[(self.starts - self.oldest) // self.step]
-            costs = np.array([self.best[s // self.step] for s in self.starts.tolist()]) + size - inner / size + self.penalty
+        if end >= self.min_size and self.open:
+            starts, paid = self.starts[: self.open], self.paid[: self.open]
+            size = end - starts
+            costs = paid + size - self.inner[(starts - self.oldest) // self.step] / size + self.penalty
             pick = int(costs.argmin())
-            cost, previous = float(costs[pick]), int(self.starts[pick])
-            if not last:
-                self.starts = self.starts[costs <= cost + self.penalty]
+            cost, previous = float(costs[pick]), int(starts[pick])
+            if not last and not costs.max() <= cost + self.penalty:
+                stay = np.flatnonzero(costs <= cost + self.penalty)
+                self.open = len(stay)
+                self.starts[: self.open], self.paid[: self.open] = starts[stay], paid[stay]
         if last:
             return previous
         self.best.append(cost)
         self.previous.append(previous)
-        self._forget(min([max(newest + self.step, 0), *self.starts[:1].tolist()]))
+        self.needed = max(newest + self.step, 0)
+        if self.open:
+            self.needed = min(self.needed, int(self.starts[0]))
         return previous
 
     def _forget(self, oldest: int) -> None:
@@ -159,31 +180,35 @@ def change_points(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         search, own, last = None, None, 0.0
 
-        def result() -> pd.DataFrame:
-            made = pd.DataFrame({"segment_end": search.ends()})
-            for k, v in reversed(list(zip(keys, own))):
-                made.insert(0, k, v)
-            return made.astype({"segment_end": "int64"})
+        def results(found: list[tuple]) -> pd.DataFrame:
+            sizes = [len(ends) for _, ends in found]
+            made = {k: [names[i] for (names, _), n in zip(found, sizes) for _ in range(n)] for i, k in enumerate(keys)}
+            return pd.DataFrame(made | {"segment_end": np.array([e for _, ends in found for e in ends], np.int64)})
 
         for frame in frames:
-            heads = np.flatnonzero(frame["__body"].to_numpy() == 0)
-            cuts = [0, *heads.tolist(), len(frame)]
+            done = []
+            heads = set(np.flatnonzero(frame["__body"].to_numpy() == 0).tolist())
+            cuts = [0, *sorted(heads), len(frame)]
+            known = frame["__x"].to_numpy(float)
             for a, b in zip(cuts, cuts[1:]):
                 if a == b:
                     continue
-                part = frame.iloc[a:b]
-                if part["__body"].iloc[0] == 0:
+                if a in heads:
                     if search is not None:
-                        yield result()
-                    own = [part[k].iloc[0] for k in keys]
-                    search, last = Search(bandwidth(np.asarray(part["__q"].iloc[0], float)), penalty, min_size, step), 0.0
-                    part = part.iloc[1:]
-                if len(part):
-                    x = part["__x"].ffill().fillna(last).to_numpy(float)
+                        done.append((own, search.ends()))
+                    own = [frame[k].iloc[a] for k in keys]
+                    search, last = Search(bandwidth(np.asarray(frame["__q"].iloc[a], float)), penalty, min_size, step), 0.0
+                    a += 1
+                if a < b:
+                    x = known[a:b]
+                    if np.isnan(x).any():
+                        x = pd.Series(x).ffill().fillna(last).to_numpy(float)
                     search.feed(x)
                     last = float(x[-1])
+            if done:
+                yield results(done)
         if search is not None:
-            yield result()
+            yield results([(own, search.ends())])
 
     return dealt.mapInPandas(run, schema)
 
