@@ -155,3 +155,20 @@ def test_batches_stay_small():
     """A batch holds a million feature values at most, so that what is computed from them does not grow with the partition."""
     frame = pd.DataFrame({"xs": [np.zeros(2 * 500)] * 1500})
     assert max(x.size for _, x, _ in hmm._batches(iter([frame]), 2)) <= 1_000_000
+
+
+def test_many_series_are_not_cut(spark, monkeypatch):
+    """Blocks shorter than a series must be stitched in each round; with many series none is cut."""
+    rows = spark.range(12_000).selectExpr("id % 40 AS series", "id AS timestamp", "id % 7 * 1.0 AS x", "id % 11 * 1.0 AS y")
+    seen, stage = [], hmm._rounds_in_stage
+
+    def watched(blocks, *rest):
+        seen.append((blocks.longest, blocks.count))
+        return stage(blocks, *rest)
+
+    monkeypatch.setattr(hmm, "_rounds_in_stage", watched)
+    monkeypatch.setattr(hmm, "STAGE_LANES", 2, raising=False)
+    many = hmm.fit(rows, ("x", "y"), keys=["series"], start_from=MODEL, n_iter=2)
+    monkeypatch.setattr(hmm, "STAGE_LANES", 1000, raising=False)
+    few = hmm.fit(rows, ("x", "y"), keys=["series"], start_from=MODEL, n_iter=2)
+    assert seen == [(1, 40), (2, 80)] and np.allclose(many.trace, few.trace)
