@@ -9,8 +9,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tideshift.operators import changepoints, regimes, registry, scoring, training
+from tideshift.operators import changepoints, neural, regimes, registry, scoring, training
 from tideshift.operators.neural import fit_neural
+from tideshift.plans import model_queries
 
 T0 = pd.Timestamp("2024-01-01")
 
@@ -206,3 +207,35 @@ def test_search_takes_values_in_by_pieces(monkeypatch):
     x = np.random.default_rng(1).normal(0, 1, 600)
     changepoints.pelt(x)
     assert sum(calls) == 600 and len(calls) <= 15
+
+
+def test_tree_fits_spread_stored_rows(spark, monkeypatch):
+    """However few parts the rows come in, a task of a tree fit gets a bounded number of them."""
+    seen = []
+
+    class Estimator:
+        def getLabelCol(self):
+            return "y"
+
+        def fit(self, rows):
+            seen.append(rows.rdd.getNumPartitions())
+            return rows
+
+    monkeypatch.setattr(training, "TASK_ROWS", 50, raising=False)
+    rows = spark.range(400).coalesce(1).selectExpr("id", "id * 1.0 AS a", "id * 2.0 AS y")
+    training._fit_trees(Estimator(), rows, ["a"])
+    assert seen == [8]
+
+
+def test_network_rows_are_taken_in_pieces():
+    data = np.arange(13.0 * 10_000).reshape(-1, 13)
+    parts = list(neural._pieces(data))
+    assert max(map(len, parts)) <= 2048 and (np.concatenate(parts) == data).all()
+
+
+def test_routing_reads_stored_rows(spark, monkeypatch):
+    """The rows that were trained on are scored as stored, not derived again for each model."""
+    rows = spark.createDataFrame([(1, T0.to_pydatetime(), 2.0, 0)], "series long, timestamp timestamp, energy_production double, regime_id int")
+    monkeypatch.setattr(model_queries, "trained", lambda *_: (training.Trained(), "", rows))
+    found = model_queries.routed(spark, "/root/testdata/sf0.001")
+    assert [(r["series"], r["model_name"], r["scored"]) for r in found.collect()] == [(1, "mock", True)]
