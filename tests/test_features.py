@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -120,3 +122,45 @@ def test_feature_store(spark, tmp_path):
     assert lake.load_features(spark, store).columns == ["b"]
     assert lake.load_features(spark, store, "1.0.0").count() == 3
     assert lake.load_features(spark, store, "9.9.9") is None
+
+
+def one_series(spark, values):
+    rows = [(0, i, None if v is None else float(v)) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "series int, timestamp int, x double")
+
+
+def population_std(values, end, rows):
+    seen = [v for v in values[max(0, end - rows + 1) : end + 1] if v is not None]
+    with np.errstate(all="ignore"):
+        return float(np.std(np.array(seen, float))) if seen else None
+
+
+@pytest.mark.parametrize("windows", [(6, 24), (24, 6), (2, 7, 13, 50), (50,), (120, 23)])
+@pytest.mark.parametrize("max_rows", [None, 40])
+def test_deviations_match_brute_force(spark, windows, max_rows):
+    rng = np.random.default_rng(7)
+    values = [None if rng.random() < 0.2 else 1e6 * (i > 200) + round(float(rng.normal(50, 3)), 2) for i in range(300)]
+    values[80:115] = [None] * 35
+    values[140] = np.inf
+    df = one_series(spark, values)
+    made = features.window_columns(df, "std", ["x"], windows, keys=["series"], max_rows=max_rows).orderBy("timestamp").collect()
+    assert [r["x"] for r in made] == values
+    for w in windows:
+        got, want = [r[f"x_std_{w}h"] for r in made], [population_std(values, i, w) for i in range(len(values))]
+        assert [v is None for v in got] == [v is None for v in want]
+        np.testing.assert_allclose([np.nan if v is None else v for v in got], [np.nan if v is None else v for v in want], rtol=1e-9, atol=1e-9)
+        assert [v is not None and np.isnan(v) for v in got] == [v is not None and np.isnan(v) for v in want]
+
+
+@pytest.mark.parametrize("value", [0.1, -1e-6, 1e9 / 3, 0.0])
+def test_equal_values_do_not_deviate_at_all(spark, value):
+    values = [value if i % 7 and not 20 < i < 60 else None for i in range(100)]
+    made = features.window_columns(one_series(spark, values), "std", ["x"], (6, 13, 24), keys=["series"], max_rows=None)
+    assert {v for r in made.select("x_std_6h", "x_std_13h", "x_std_24h").collect() for v in r} == {0.0, None}
+
+
+@pytest.mark.parametrize("windows", [(24,), (2, 6, 24), (3, 700)])
+def test_deviations_do_not_add_up_each_window_anew(spark, windows):
+    made = features.window_columns(one_series(spark, [1.0]), "std", ["x"], windows, keys=["series"], max_rows=None)
+    frames = re.findall(r"RowFrame, ([^,]+), ([^)]+?)\)", made._jdf.queryExecution().optimizedPlan().toString())
+    assert frames and all(first == last for first, last in frames)
