@@ -172,3 +172,38 @@ def test_many_series_are_not_cut(spark, monkeypatch):
     monkeypatch.setattr(hmm, "STAGE_LANES", 1000, raising=False)
     few = hmm.fit(rows, ("x", "y"), keys=["series"], start_from=MODEL, n_iter=2)
     assert seen == [(1, 40), (2, 80)] and np.allclose(many.trace, few.trace)
+
+
+def test_passes_over_blocks_take_few_at_a_time(spark, monkeypatch):
+    """A row of the packed table is a whole block; Spark's own batches would hold thousands of them."""
+    rows = spark.range(12_000).selectExpr("id % 300 AS series", "id AS timestamp", "id % 7 * 1.0 AS x", "id % 11 * 1.0 AS y")
+    blocks = hmm.pack(rows, ("x", "y"), ["series"])
+
+    def sizes(model):
+        return lambda frames: (pd.DataFrame({"stats": [[1.0, float(len(f))]]}) for f in frames)
+
+    monkeypatch.setattr(hmm, "_sufficient_statistics", sizes)
+    monkeypatch.setattr(hmm, "BATCH_VALUES", 400)  # a block has 40 rows of two values
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    batches, total = hmm._expectation(blocks, MODEL)
+    assert total == 300 and batches >= 60
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_start_keeps_no_rows_in_the_heap(spark, monkeypatch):
+    seen = []
+
+    class Centres:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, rows):
+            seen.append((rows.storageLevel.useMemory, rows.storageLevel.useDisk, rows.count()))
+            return self
+
+        def clusterCenters(self):
+            return [np.zeros(2)] * 3
+
+    monkeypatch.setattr(hmm, "KMeans", Centres)
+    hmm.initial_model(hmm.pack(long_frame(spark), ("x", "y"), ["series"]))
+    assert seen == [(False, True, 223)]
