@@ -239,3 +239,30 @@ def test_routing_reads_stored_rows(spark, monkeypatch):
     monkeypatch.setattr(model_queries, "trained", lambda *_: (training.Trained(), "", rows))
     found = model_queries.routed(spark, "/root/testdata/sf0.001")
     assert [(r["series"], r["model_name"], r["scored"]) for r in found.collect()] == [(1, "mock", True)]
+
+
+class Constant:
+    """Stands in for a fitted regressor."""
+
+    def transform(self, rows):
+        return rows.withColumn("prediction", F.lit(10.0))
+
+
+@pytest.mark.parametrize("query", ["fit_gbt", "fit_rf", "train_all"])
+def test_registered_fits_take_the_full_settings(spark, monkeypatch, query):
+    seen = []
+
+    def fitter(train, columns, target, s=training.Settings()):
+        seen.append(s)
+        return Constant()
+
+    names = dict.fromkeys(["series", "timestamp", "energy_production", *model_queries.FEATURES, "regime_id"])
+    rows = spark.range(240).select(
+        *[F.col("id").alias(c) if c == "series" else F.lit(T0.to_pydatetime()).alias(c) if c == "timestamp"
+          else (F.col("id") % 3).cast("int").alias(c) if c == "regime_id" else (F.col("id") * 0.5).alias(c) for c in names]
+    )
+    monkeypatch.setattr(model_queries, "training_rows", lambda *_: rows)
+    monkeypatch.setattr(training, "FITTERS", dict.fromkeys(training.FITTERS, fitter))
+    monkeypatch.setattr(training, "save_regressor", lambda *_: None)
+    assert model_queries.QUERIES[query](spark, f"no folder for {query}").count() > 0
+    assert seen and set(seen) == {training.Settings()}
