@@ -266,3 +266,11 @@ def test_registered_fits_take_the_full_settings(spark, monkeypatch, query):
     monkeypatch.setattr(training, "save_regressor", lambda *_: None)
     assert model_queries.QUERIES[query](spark, f"no folder for {query}").count() > 0
     assert seen and set(seen) == {training.Settings()}
+
+
+def test_registered_markov_fit_takes_all_rounds(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(model_queries, "keyed", lambda *_: spark.range(9).selectExpr("id AS series", *[f"id * 1.0 AS {c}" for c in model_queries.MEASURES]))
+    monkeypatch.setattr(model_queries.hmm, "fit", lambda rows, columns, **options: seen.update(options))
+    model_queries.fitted(spark, "")
+    assert seen.get("n_iter", 200) == 200 and "tol" not in seen
